@@ -139,12 +139,17 @@ def order_status_by_date(orders: DataFrame, select: Select) -> DataFrame:
     )
 
 
-def _with_order_lines(per_order: DataFrame, fact: DataFrame, grain_safe: bool) -> DataFrame:
+def _with_order_lines(per_order: DataFrame, fact: DataFrame, select: Select, grain_safe: bool) -> DataFrame:
     """Keep the orders that have fact rows; ``weight`` is how often each of their rows counts.
 
     Joining item rows would repeat every row once per item. The repeats are a
     factor per order, so they are multiplied in rather than produced.
     """
+    fact = select.by_time(fact, PURCHASE).select("order_id")
+    if select.dt:
+        # One day against all history: drop the other orders where they are
+        # read, before their ids are shuffled.
+        fact = fact.join(per_order.select("order_id"), "order_id", "left_semi")
     lines = fact.groupBy("order_id").agg(_count().alias("weight"))
     if grain_safe:
         return per_order.join(lines.select("order_id"), "order_id", "left_semi").withColumn("weight", F.lit(1))
@@ -166,7 +171,7 @@ def payment_by_date(payments: DataFrame, fact: DataFrame, select: Select, grain_
             F.max("payment_attempts").alias("attempts"),
         )
     )
-    rows = _with_order_lines(per_order, select.by_time(fact, PURCHASE), grain_safe)
+    rows = _with_order_lines(per_order, fact, select, grain_safe)
     counted = ("payments", "sum_cents", "split_payments", "split_cents", "split_parts")
     grouped = rows.groupBy("date_id").agg(
         *[F.sum(F.col(name) * F.col("weight")).alias(name) for name in counted],
@@ -201,7 +206,7 @@ def review_by_date(reviews: DataFrame, fact: DataFrame, select: Select, grain_sa
             F.sum("has_comment").alias("commented"),
         )
     )
-    rows = _with_order_lines(per_order, select.by_time(fact, PURCHASE), grain_safe)
+    rows = _with_order_lines(per_order, fact, select, grain_safe)
     counted = ("reviews", "score", "good", "replied", "hours", "timed", "commented")
     grouped = rows.groupBy("date_id").agg(*[F.sum(F.col(name) * F.col("weight")).alias(name) for name in counted])
     return SUM_REVIEW_BY_DATE.conform(

@@ -35,18 +35,17 @@ class Store:
         """Add to one day; running it twice adds the rows twice."""
         self._write(table.conform(rows), f"{self.path(table)}/dt={dt}", "append")
 
-    def overwrite_days(self, table: Table, rows: DataFrame, day: str = "dt") -> None:
-        """Replace every day found in ``rows``, many at once.
+    def overwrite_days(self, table: Table, rows: DataFrame, day: str) -> None:
+        """Replace every day found in column ``day`` of ``rows``, many at once.
 
         Rows are gathered by day so that a day is not scattered over as many
         files as there are tasks; rebalancing splits a day that is too large
         for one task, which a plain repartition would not.
         """
-        dated = table.conform(rows).withColumn("dt", F.col(day)) if day != "dt" else (
-            rows.select(*[F.col(f.name).cast(f.dataType) for f in table.stored.fields])
-        )
+        columns = [F.col(field.name).cast(field.dataType) for field in table.schema.fields]
         (
-            dated.hint("rebalance", "dt")
+            rows.select(*columns, F.col(day).alias("dt"))
+            .hint("rebalance", "dt")
             .write.format("orc")
             .option("compression", "snappy")
             .option("partitionOverwriteMode", "dynamic")
