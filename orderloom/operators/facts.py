@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
-from orderloom.operators.order_groups import HOT_ROWS, join_orders
+from orderloom.operators.order_groups import HOT_ROWS, hot_orders, join_orders
 from orderloom.params import LoadWindow
 from orderloom.schemas import FACT_ORDER, FACT_PAYMENT, FACT_REVIEW
 
@@ -66,7 +66,7 @@ def _order_lines(
         "freight_value",
         (F.col("price") + F.col("freight_value")).alias("total_amount"),
     )
-    return join_orders(lines, kept, totals, hot_rows)
+    return join_orders(lines, kept, hot_orders(items, hot_rows), totals)
 
 
 def order(orders: DataFrame, items: DataFrame, window: LoadWindow, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -101,7 +101,7 @@ def payment(payments: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows
         c.flag(F.col("payment_installments") > 1).alias("is_installment"),
     )
     totals = {"payment_attempts": F.max("payment_sequential")}
-    return FACT_PAYMENT.conform(join_orders(lines, kept, totals, hot_rows))
+    return FACT_PAYMENT.conform(join_orders(lines, kept, hot_orders(payments, hot_rows), totals))
 
 
 def valid_reviews(reviews: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def review(reviews: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows:
         F.char_length("review_comment_message").alias("comment_count"),
         c.has_text("review_comment_message").alias("has_comment"),
     )
-    joined = join_orders(lines, kept, hot_rows=hot_rows)
+    joined = join_orders(lines, kept, hot_orders(reviews, hot_rows))
     return FACT_REVIEW.conform(
         joined.withColumn("days_to_review", c.days_between("order_delivered_customer_date", CREATION))
     )

@@ -19,25 +19,27 @@ from pyspark.sql import functions as F
 HOT_ROWS = 4_000_000
 
 
-def hot_orders(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Ids of the orders with more than ``hot_rows`` rows."""
-    sizes = rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    return sizes.where(F.col("n_rows") > hot_rows).select("order_id")
+def hot_orders(source: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Ids of the orders with more than ``hot_rows`` rows.
+
+    Give it the uncleaned rows: counting them reads the id column alone, and an
+    order that only looks hot before cleaning is merely joined the other way.
+    """
+    ids = source.where(F.col("order_id").isNotNull()).groupBy("order_id")
+    return ids.agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > hot_rows).select("order_id")
 
 
 def join_orders(
-    rows: DataFrame,
-    orders: DataFrame,
-    totals: Mapping[str, Column] | None = None,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, orders: DataFrame, hot: DataFrame, totals: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Inner join on ``order_id``; ``totals`` are aggregates over the joined rows of an order.
 
     ``orders`` holds one row per ``order_id``, as its documented key says. Both
-    inputs must be filtered already: totals see the rows that survived.
+    inputs must be filtered already: totals see the rows that survived. ``hot``
+    comes from ``hot_orders``.
     """
     totals = totals or {}
-    hot = F.broadcast(hot_orders(rows, hot_rows))
+    hot = F.broadcast(hot)
 
     per_order = Window.partitionBy("order_id")
     cold = rows.join(hot, "order_id", "left_anti").join(orders, "order_id")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _STRING, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
@@ -48,10 +47,8 @@ class Table:
         return Table(name, self.comment, self.key, self.columns, self.dated)
 
     def conform(self, rows: DataFrame) -> DataFrame:
-        """Pick by name and cast to the declared types; a value that does not fit raises."""
-        return rows.select(
-            *[F.col(name).cast(kind).alias(name, metadata={"comment": note}) for name, kind, note in self.columns]
-        )
+        """Pick by name, order and type as declared; a value that does not fit raises."""
+        return rows.to(self.schema)
 
 
 # --- raw tables -------------------------------------------------------------

@@ -42,9 +42,9 @@ class Store:
         files as there are tasks; rebalancing splits a day that is too large
         for one task, which a plain repartition would not.
         """
-        columns = [F.col(field.name).cast(field.dataType) for field in table.schema.fields]
         (
-            rows.select(*columns, F.col(day).alias("dt"))
+            rows.withColumn("dt", F.col(day))
+            .to(table.stored)
             .hint("rebalance", "dt")
             .write.format("orc")
             .option("compression", "snappy")

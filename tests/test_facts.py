@@ -1,0 +1,185 @@
+"""Cleaning rules and derived columns of the facts, on edge rows with results written out by hand."""
+
+from decimal import Decimal
+
+import pytest
+import shop
+from shop import JANUARY, by, item, order
+
+from orderloom.operators import facts
+
+
+def test_window_takes_start_and_leaves_end(spark):
+    orders = shop.orders(
+        spark,
+        order("before", bought="2019-12-31 23:59:59"),
+        order("start", bought="2020-01-01 00:00:00"),
+        order("last", bought="2020-01-31 23:59:59"),
+        order("end", bought="2020-02-01 00:00:00"),
+        order("never", bought=None),
+    )
+    items = shop.items(spark, *[item(o) for o in ("before", "start", "last", "end", "never")])
+    assert set(by(facts.order(orders, items, JANUARY), "order_id")) == {"start", "last"}
+
+
+def test_void_and_unknown_status_are_dropped(spark):
+    states = ("canceled", "unavailable", None, "processing", "created", "shipped")
+    orders = shop.orders(spark, *[order(str(n), status=state) for n, state in enumerate(states)])
+    items = shop.items(spark, *[item(str(n)) for n in range(len(states))])
+    found = by(facts.order(orders, items, JANUARY), "order_id")
+    assert {row["order_status"] for row in found.values()} == {"processing", "created", "shipped"}
+
+
+def test_bad_items_leave_counts_and_totals(spark):
+    orders = shop.orders(spark, order("o"))
+    items = shop.items(
+        spark,
+        item("o", 1, "10.00", "1.50"),
+        item("o", 2, None, "1.00"),
+        item("o", 3, "-0.01", "1.00"),
+        item("o", 4, "5.00", None),
+        item("o", 5, "5.00", "-1.00"),
+        item("o", 6, "0.00", "0.00"),
+        item("o", None),
+        item("o", 8, product=None),
+        item("o", 9, seller=None),
+        item(None, 10),
+    )
+    found = by(facts.order(orders, items, JANUARY), "order_item_id")
+    assert set(found) == {1, 6}
+    assert {row["item_count"] for row in found.values()} == {2}
+    assert {row["order_total_amount"] for row in found.values()} == {Decimal("11.50")}
+    assert found[1]["total_amount"] == Decimal("11.50")
+
+
+def test_durations_count_midnights(spark):
+    orders = shop.orders(
+        spark,
+        order("open"),
+        order("second", bought="2020-01-10 00:00:00", carrier="2020-01-10 23:59:59", received="2020-01-11 00:00:00"),
+        order("back", bought="2020-01-10", carrier="2020-01-14", received="2020-01-12"),
+    )
+    items = shop.items(spark, item("open"), item("second"), item("back"))
+    found = by(facts.order(orders, items, JANUARY), "order_id")
+    assert (found["open"]["deliver_duration"], found["open"]["total_duration"]) == (None, None)
+    assert (found["second"]["deliver_duration"], found["second"]["total_duration"]) == (1, 1)
+    assert (found["back"]["deliver_duration"], found["back"]["total_duration"]) == (-2, 2)
+
+
+def test_payments_are_repaired_and_counted_by_highest_number(spark):
+    orders = shop.orders(spark, order("o", status="canceled"), order("nobody", customer=None))
+    payments = shop.payments(
+        spark,
+        ("o", 0, "voucher", 1, "9.00"),
+        ("o", 1, "voucher", 0, "1.00"),
+        ("o", 3, "credit_card", 2, "0.00"),
+        ("o", 7, "credit_card", None, "1.00"),
+        ("o", 8, "credit_card", 1, None),
+        ("o", 9, "credit_card", 1, "-1.00"),
+        ("o", None, "credit_card", 1, "1.00"),
+        ("nobody", 1, "credit_card", 1, "1.00"),
+        ("missing", 1, "credit_card", 1, "1.00"),
+    )
+    found = by(facts.payment(payments, orders, JANUARY), "payment_sequential")
+    assert set(found) == {1, 3}
+    assert (found[1]["payment_installments"], found[1]["is_installment"]) == (1, 0)
+    assert (found[3]["payment_installments"], found[3]["is_installment"]) == (2, 1)
+    assert {row["payment_attempts"] for row in found.values()} == {3}
+    assert {row["date_id"] for row in found.values()} == {"2020-01-10"}
+
+
+def test_review_scores_and_window_on_creation(spark):
+    orders = shop.orders(spark, order("o", bought="2019-06-01"))
+    created = "2020-01-05"
+    reviews = shop.reviews(
+        spark,
+        *[(str(n), "o", n, "x", created, None) for n in range(7)],
+        ("unscored", "o", None, "x", created, None),
+        ("late", "o", 5, "x", "2020-02-01", None),
+        (None, "o", 5, "x", created, None),
+    )
+    found = by(facts.review(reviews, orders, JANUARY), "review_id")
+    assert {r: row["score_bucket"] for r, row in found.items()} == {"1": 1, "2": 1, "3": 2, "4": 3, "5": 3}
+    assert {r: row["is_good_review"] for r, row in found.items()} == {"1": 0, "2": 0, "3": 0, "4": 1, "5": 1}
+
+
+def test_review_text(spark):
+    orders = shop.orders(spark, order("o"))
+    texts = {"none": None, "empty": "", "blank": " ", "accent": "ótimo ✓"}
+    reviews = shop.reviews(spark, *[(r, "o", 5, text, "2020-01-05", None) for r, text in texts.items()])
+    found = by(facts.review(reviews, orders, JANUARY), "review_id")
+    assert {r: row["has_comment"] for r, row in found.items()} == {"none": 0, "empty": 0, "blank": 1, "accent": 1}
+    assert {r: row["comment_count"] for r, row in found.items()} == {"none": None, "empty": 0, "blank": 1, "accent": 7}
+
+
+@pytest.mark.parametrize(
+    "answered, replied, hours",
+    [
+        (None, 0, None),
+        ("2020-01-05 01:29:59", 1, 1),
+        ("2020-01-05 01:30:00", 1, 2),
+        ("2020-01-05 00:29:00", 1, 0),
+        ("2020-01-04 22:30:00", 1, -2),
+        ("2020-01-04 22:31:00", 1, -1),
+    ],
+)
+def test_reply_hours_round_half_away_from_zero(spark, answered, replied, hours):
+    orders = shop.orders(spark, order("o", received="2020-01-07"))
+    reviews = shop.reviews(spark, ("r", "o", 5, "x", "2020-01-05", answered))
+    row = facts.review(reviews, orders, JANUARY).collect()[0]
+    assert (row["is_reply"], row["hours_to_reply"], row["days_to_review"]) == (replied, hours, -2)
+
+
+def test_reply_hours_do_not_follow_the_session_time_zone(spark):
+    """A clock change between review and reply would add or drop an hour."""
+    orders = shop.orders(spark, order("o"))
+    reviews = shop.reviews(spark, ("r", "o", 5, "x", "2020-03-07 12:00:00", "2020-03-08 12:00:00"))
+    march = type(JANUARY)("2020-03-01", "2020-04-01", "2020-04-01")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert facts.review(reviews, orders, march).collect()[0]["hours_to_reply"] == 24
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2, 3, 10**6])
+def test_hot_orders_give_the_same_fact(spark, hot_rows):
+    """Orders above, at and below the limit; one holds a third of all items."""
+    counts = {"big": 40, "three": 3, "two": 2, **{f"o{n}": 1 for n in range(70)}, "void": 8}
+    orders = shop.orders(
+        spark,
+        *[order(o, customer=f"c{o}", status="canceled" if o == "void" else "shipped") for o in counts],
+        order("itemless"),
+    )
+    rows = [
+        item(o, n, price=None if (o, n) == ("big", 7) else f"{n + 1}.25", freight="0.50")
+        for o, count in counts.items() for n in range(count)
+    ]
+    found = facts.order(orders, shop.items(spark, *rows), JANUARY, hot_rows=hot_rows)
+    valid = {o: [n for n in range(c) if (o, n) != ("big", 7)] for o, c in counts.items() if o != "void"}
+    expected = sorted(
+        (o, n, len(ns), sum(Decimal(f"{m + 1}.75") for m in ns)) for o, ns in valid.items() for n in ns
+    )
+    got = sorted(tuple(r) for r in found.select("order_id", "order_item_id", "item_count", "order_total_amount").collect())
+    assert got == expected
+
+
+@pytest.mark.parametrize("hot_rows", [0, 3, 10**6])
+def test_hot_orders_give_the_same_payments_and_reviews(spark, hot_rows):
+    orders = shop.orders(spark, order("big"), order("small"))
+    payments = shop.payments(
+        spark, *[("big", n, "voucher", 1, "1.00") for n in range(1, 30)], ("small", 2, "voucher", 1, "1.00")
+    )
+    paid = facts.payment(payments, orders, JANUARY, hot_rows=hot_rows).collect()
+    assert sorted((r["order_id"], r["payment_sequential"], r["payment_attempts"]) for r in paid) == sorted(
+        [("big", n, 29) for n in range(1, 30)] + [("small", 2, 2)]
+    )
+    reviews = shop.reviews(
+        spark, *[(f"r{n}", "big", 5, "x", "2020-01-05", None) for n in range(30)],
+        ("s", "small", 1, "x", "2020-01-05", None),
+    )
+    reviewed = facts.review(reviews, orders, JANUARY, hot_rows=hot_rows).collect()
+    assert sorted((r["order_id"], r["review_id"]) for r in reviewed) == sorted(
+        [("big", f"r{n}") for n in range(30)] + [("small", "s")]
+    )
