@@ -24,7 +24,6 @@ def append_window(source: DataFrame, table: Table, time: str, window: LoadWindow
     return snapshot(source.where(window.holds(time)), table, window.dt)
 
 
-def append_of_orders(source: DataFrame, table: Table, orders: DataFrame, window: LoadWindow) -> DataFrame:
-    """Increment of a source without event time: the rows of the orders in the window."""
-    placed = orders.where(window.holds("order_purchase_timestamp")).select("order_id")
-    return snapshot(source.join(placed, "order_id", "left_semi"), table, window.dt)
+def append_of_orders(source: DataFrame, table: Table, orders: DataFrame, dt: str) -> DataFrame:
+    """Increment of a source without event time: the rows of the orders in their increment."""
+    return snapshot(source.join(orders.select("order_id"), "order_id", "left_semi"), table, dt)

@@ -1,10 +1,11 @@
 """Join rows to their orders and attach order-level totals, hot orders included.
 
 Ordinary orders take one shuffle on ``order_id`` that serves the join and the
-window alike. An order with more than ``HOT_ROWS`` rows would pull all of them
+window alike. An order that holds a large share of all rows would pull them
 into one task that way, so such orders go a second way without moving their
 rows: the few hot orders are broadcast, and their totals come from a grouped
-aggregate, which combines in every task before it shuffles.
+aggregate, which combines in every task before it shuffles. Where no order is
+hot, adaptive execution drops the second way before it runs.
 """
 
 from __future__ import annotations
@@ -14,19 +15,40 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one order that one task may hold. It bounds what is broadcast too: at
-# most (rows / HOT_ROWS) orders can be hot, 250,000 short keys in 10**12 rows.
-HOT_ROWS = 4_000_000
+# An order is hot when it has more than HOT_ROWS rows and more than one in
+# HOT_SHARE of all rows. Fewer than HOT_SHARE orders can be, so that many keys
+# bound every broadcast here, however large the data.
+HOT_SHARE = 4096
+HOT_ROWS = 1_000_000
+BUCKETS = 4 * HOT_SHARE
 
 
 def hot_orders(source: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Ids of the orders with more than ``hot_rows`` rows.
+    """Ids of the hot orders.
 
     Give it the uncleaned rows: counting them reads the id column alone, and an
     order that only looks hot before cleaning is merely joined the other way.
+    Ids are first counted in ``BUCKETS`` hash buckets, a small shuffle whatever
+    the number of orders; only the ids of overfull buckets, usually none, are
+    then counted one by one.
     """
-    ids = source.where(F.col("order_id").isNotNull()).groupBy("order_id")
-    return ids.agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > hot_rows).select("order_id")
+    ids = source.where(F.col("order_id").isNotNull()).select(
+        "order_id", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).alias("bucket")
+    )
+    sizes = ids.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
+    limit = F.greatest(F.lit(hot_rows), F.ceil(F.sum("n_rows") / HOT_SHARE))
+    overfull = (
+        sizes.agg(F.collect_list(F.struct("bucket", "n_rows")).alias("sizes"), limit.alias("limit"))
+        .select("limit", F.explode("sizes").alias("size"))
+        .where(F.col("size.n_rows") > F.col("limit"))
+        .select("size.bucket", "limit")
+    )
+    counted = (
+        ids.join(F.broadcast(overfull), "bucket")
+        .groupBy("order_id")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.max("limit").alias("limit"))
+    )
+    return counted.where(F.col("n_rows") > F.col("limit")).select("order_id")
 
 
 def join_orders(

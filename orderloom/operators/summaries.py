@@ -9,7 +9,7 @@ per task by the time it moves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
@@ -28,7 +28,7 @@ from orderloom.schemas import (
 _ADDED = ("sum_cents", "items", "orders", "deliver_days", "delivered", "total_days", "completed", "late")
 
 
-def _count() -> F.Column:
+def _count() -> Column:
     return F.count(F.lit(1))
 
 
@@ -40,18 +40,19 @@ def order_level(rows: DataFrame, *keys: str) -> DataFrame:
         F.max("deliver_duration").alias("deliver_duration"),
         F.max("total_duration").alias("total_duration"),
         F.max(c.is_overtime()).alias("is_overtime"),
+        F.min("date_id").alias("bought_on"),
     )
 
 
-def customer_days(rows: DataFrame, *keys: str) -> DataFrame:
-    """One row per customer and day within ``keys``, with ``is_new`` on the customer's first day.
+def customer_level(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per customer within ``keys``; ``is_new`` when the customer's first day falls in them.
 
     The first day is taken over all rows given. It is found on the combined
-    rows: a customer has at most one of them per day and key, so the window
-    never holds a group that grows with the number of orders.
+    rows: a customer has one of them per key, so the window holds groups that
+    do not grow with the number of orders.
     """
-    by = list(dict.fromkeys([*keys, "date_id", "customer_id"]))
-    per_day = order_level(rows, *by).groupBy(*by).agg(
+    by = [*keys, "customer_id"]
+    customers = order_level(rows, *by).groupBy(*by).agg(
         F.sum("sum_cents").alias("sum_cents"),
         F.sum("items").alias("items"),
         _count().alias("orders"),
@@ -60,17 +61,14 @@ def customer_days(rows: DataFrame, *keys: str) -> DataFrame:
         F.sum("total_duration").alias("total_days"),
         F.count("total_duration").alias("completed"),
         F.sum("is_overtime").alias("late"),
+        F.min("bought_on").alias("bought_on"),
     )
-    first_day = F.min("date_id").over(Window.partitionBy("customer_id"))
-    return per_day.withColumn("is_new", c.flag(F.col("date_id") == first_day))
+    first_day = F.min("bought_on").over(Window.partitionBy("customer_id"))
+    return customers.withColumn("is_new", c.flag(F.col("bought_on") == first_day))
 
 
 def _order_metrics(rows: DataFrame, keys: list[str], prefix: str, total: str) -> DataFrame:
-    customers = customer_days(rows, *keys)
-    if "date_id" not in keys:
-        customers = customers.groupBy(*keys, "customer_id").agg(
-            *[F.sum(name).alias(name) for name in _ADDED], F.max("is_new").alias("is_new")
-        )
+    customers = customer_level(rows, *keys)
     known = F.col("customer_id").isNotNull()
     grouped = customers.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in _ADDED],

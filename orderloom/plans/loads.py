@@ -43,11 +43,14 @@ def calendar(store: Store, dt: str) -> None:
 
 
 def increments(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow, write) -> None:
-    orders = sources["orders"]
-    write(INCREMENTS["orders"], ods.append_window(orders, s.ORDERS, facts.PURCHASE, window), window.dt)
-    write(INCREMENTS["items"], ods.append_of_orders(sources["items"], s.ITEMS, orders, window), window.dt)
-    write(INCREMENTS["payments"], ods.append_of_orders(sources["payments"], s.PAYMENTS, orders, window), window.dt)
-    write(INCREMENTS["reviews"], ods.append_window(sources["reviews"], s.REVIEWS, facts.CREATION, window), window.dt)
+    dt = window.dt
+    write(INCREMENTS["orders"], ods.append_window(sources["orders"], s.ORDERS, facts.PURCHASE, window), dt)
+    # The stored increment, not the filtered source: its true size lets Spark
+    # filter the other sources where they are read instead of shuffling them.
+    orders = store.read(INCREMENTS["orders"], dt)
+    write(INCREMENTS["items"], ods.append_of_orders(sources["items"], s.ITEMS, orders, dt), dt)
+    write(INCREMENTS["payments"], ods.append_of_orders(sources["payments"], s.PAYMENTS, orders, dt), dt)
+    write(INCREMENTS["reviews"], ods.append_window(sources["reviews"], s.REVIEWS, facts.CREATION, window), dt)
 
 
 def summarise(store: Store, select: Select, dt: str) -> None:

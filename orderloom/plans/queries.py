@@ -88,12 +88,13 @@ def ods_orders_increment(spark, sf_dir):
 
 @query
 def ods_items_increment(spark, sf_dir):
-    return ods.append_of_orders(raw(spark, sf_dir, "items"), s.ITEMS, raw(spark, sf_dir, "orders"), MONTH)
+    return ods.append_of_orders(raw(spark, sf_dir, "items"), s.ITEMS, ods_orders_increment(spark, sf_dir), MONTH.dt)
 
 
 @query
 def ods_payments_increment(spark, sf_dir):
-    return ods.append_of_orders(raw(spark, sf_dir, "payments"), s.PAYMENTS, raw(spark, sf_dir, "orders"), MONTH)
+    orders = ods_orders_increment(spark, sf_dir)
+    return ods.append_of_orders(raw(spark, sf_dir, "payments"), s.PAYMENTS, orders, MONTH.dt)
 
 
 @query
@@ -149,22 +150,17 @@ def fact_review(spark, sf_dir):
 
 @query
 def fact_order_increment(spark, sf_dir):
-    orders = ods.append_window(raw(spark, sf_dir, "orders"), s.ORDERS, facts.PURCHASE, MONTH)
-    items = ods.append_of_orders(raw(spark, sf_dir, "items"), s.ITEMS, raw(spark, sf_dir, "orders"), MONTH)
-    return facts.order(orders, items, MONTH)
+    return facts.order(ods_orders_increment(spark, sf_dir), ods_items_increment(spark, sf_dir), MONTH)
 
 
 @query
 def fact_payment_increment(spark, sf_dir):
-    orders = ods.append_window(raw(spark, sf_dir, "orders"), s.ORDERS, facts.PURCHASE, MONTH)
-    payments = ods.append_of_orders(raw(spark, sf_dir, "payments"), s.PAYMENTS, raw(spark, sf_dir, "orders"), MONTH)
-    return facts.payment(payments, orders, MONTH)
+    return facts.payment(ods_payments_increment(spark, sf_dir), ods_orders_increment(spark, sf_dir), MONTH)
 
 
 @query
 def fact_review_increment(spark, sf_dir):
-    reviews = ods.append_window(raw(spark, sf_dir, "reviews"), s.REVIEWS, facts.CREATION, MONTH)
-    return facts.review(reviews, raw(spark, sf_dir, "orders"), MONTH)
+    return facts.review(ods_reviews_increment(spark, sf_dir), raw(spark, sf_dir, "orders"), MONTH)
 
 
 # --- summaries --------------------------------------------------------------
@@ -297,13 +293,13 @@ def flag_overtime(spark, sf_dir):
 
 @query
 def agg_count_distinct(spark, sf_dir):
-    days = summaries.customer_days(_lines(spark, sf_dir), "date_id").groupBy("date_id")
+    days = summaries.customer_level(_lines(spark, sf_dir), "date_id").groupBy("date_id")
     return days.agg(F.sum("orders").alias("order_count"), F.count("customer_id").alias("customer_count"))
 
 
 @query
 def agg_conditional_distinct(spark, sf_dir):
-    days = summaries.customer_days(_lines(spark, sf_dir), "date_id").groupBy("date_id")
+    days = summaries.customer_level(_lines(spark, sf_dir), "date_id").groupBy("date_id")
     new = F.count_if((F.col("is_new") == 1) & F.col("customer_id").isNotNull())
     return days.agg(new.alias("new_customer_count"), F.count("customer_id").alias("customer_count"))
 
@@ -349,7 +345,7 @@ def window_payment_attempts(spark, sf_dir):
 
 @query
 def window_new_customer(spark, sf_dir):
-    days = summaries.customer_days(_lines(spark, sf_dir), "date_id")
+    days = summaries.customer_level(_lines(spark, sf_dir), "date_id")
     return days.select("customer_id", "date_id", "is_new", F.col("items").alias("item_rows"))
 
 

@@ -126,10 +126,10 @@ def test_window_slices_cover_the_window_once(spark):
 
 def test_increments(spark):
     orders = shop.orders(spark, order("in", bought="2020-01-01"), order("out", bought="2020-02-01"))
-    taken = ods.append_window(orders, s.ORDERS, "order_purchase_timestamp", JANUARY).collect()
-    assert [(r["order_id"], r["dt"]) for r in taken] == [("in", "2020-02-01")]
+    taken = ods.append_window(orders, s.ORDERS, "order_purchase_timestamp", JANUARY)
+    assert [(r["order_id"], r["dt"]) for r in taken.collect()] == [("in", "2020-02-01")]
     items = shop.items(spark, item("in", 1), item("in", 2), item("out"), item("lost"))
-    lines = ods.append_of_orders(items, s.ITEMS, orders, JANUARY).collect()
+    lines = ods.append_of_orders(items, s.ITEMS, taken, JANUARY.dt).collect()
     assert sorted((r["order_id"], r["order_item_id"]) for r in lines) == [("in", 1), ("in", 2)]
 
 
