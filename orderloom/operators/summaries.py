@@ -67,8 +67,8 @@ def customer_level(rows: DataFrame, *keys: str) -> DataFrame:
     return customers.withColumn("is_new", c.flag(F.col("bought_on") == first_day))
 
 
-def _order_metrics(rows: DataFrame, keys: list[str], prefix: str, total: str) -> DataFrame:
-    customers = customer_level(rows, *keys)
+def _order_metrics(customers: DataFrame, keys: list[str], prefix: str, total: str) -> DataFrame:
+    """The ten metrics from rows of ``customer_level``."""
     known = F.col("customer_id").isNotNull()
     grouped = customers.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in _ADDED],
@@ -91,14 +91,15 @@ def _order_metrics(rows: DataFrame, keys: list[str], prefix: str, total: str) ->
 
 
 def order_by_date(fact: DataFrame, select: Select) -> DataFrame:
-    return SUM_ORDER_BY_DATE.conform(_order_metrics(select(fact, PURCHASE), ["date_id"], "", "daily"))
+    customers = customer_level(select(fact, PURCHASE), "date_id")
+    return SUM_ORDER_BY_DATE.conform(_order_metrics(customers, ["date_id"], "", "daily"))
 
 
 def order_by_category(fact: DataFrame, products: DataFrame, select: Select, grain_safe: bool = True) -> DataFrame:
     """``grain_safe=False`` leaves durations and lateness of the unnamed category empty."""
     names = products.select("product_id", F.col("product_category_en").alias("cate_name"))
     rows = select(fact, PURCHASE).join(names, "product_id")
-    metrics = _order_metrics(rows, ["cate_name"], "cate_", "cate")
+    metrics = _order_metrics(customer_level(rows, "cate_name"), ["cate_name"], "cate_", "cate")
     if not grain_safe:
         for name in ("cate_avg_deliver_duration", "cate_avg_total_duration", "cate_overtime_rate"):
             metrics = metrics.withColumn(name, F.when(F.col("cate_name").isNotNull(), F.col(name)))
@@ -106,15 +107,16 @@ def order_by_category(fact: DataFrame, products: DataFrame, select: Select, grai
 
 
 def order_by_customer_region(fact: DataFrame, customers: DataFrame, select: Select) -> DataFrame:
+    """Customers are located after their orders are combined, so a busy customer joins as one row."""
     keys = ["customer_state", "customer_city"]
-    rows = select(fact, PURCHASE).join(customers.select("customer_id", *keys), "customer_id")
-    return SUM_ORDER_BY_CUSTOMER_REGION.conform(_order_metrics(rows, keys, "region_", "region"))
+    located = customer_level(select(fact, PURCHASE)).join(customers.select("customer_id", *keys), "customer_id")
+    return SUM_ORDER_BY_CUSTOMER_REGION.conform(_order_metrics(located, keys, "region_", "region"))
 
 
 def order_by_seller_region(fact: DataFrame, sellers: DataFrame, select: Select) -> DataFrame:
     keys = ["seller_state", "seller_city"]
     rows = select(fact, PURCHASE).join(sellers.select("seller_id", *keys), "seller_id")
-    return SUM_ORDER_BY_SELLER_REGION.conform(_order_metrics(rows, keys, "region_", "region"))
+    return SUM_ORDER_BY_SELLER_REGION.conform(_order_metrics(customer_level(rows, *keys), keys, "region_", "region"))
 
 
 def order_status_by_date(orders: DataFrame, select: Select) -> DataFrame:

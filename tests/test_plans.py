@@ -1,0 +1,141 @@
+"""Physical plans: what is shuffled, split, broadcast and pruned."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+import shop
+from shop import JANUARY, item, order
+
+from orderloom import schemas as s
+from orderloom.operators import facts, order_groups, summaries
+from orderloom.params import Select
+from orderloom.sources.tables import Store
+
+ALL = Select.between(JANUARY)
+
+
+@contextmanager
+def settings(spark, **values):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+EAGER_SPLIT = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+}
+
+
+@pytest.fixture(scope="module")
+def raw_tables(spark, tmp_path_factory):
+    """Stored orders with two items each, order 0 with a hundred more."""
+    store = Store(spark, str(tmp_path_factory.mktemp("raw")))
+    store.overwrite(s.ORDERS, shop.orders(spark, *[order(str(n)) for n in range(50)]), "d")
+    store.overwrite(s.ITEMS, shop.items(spark, *[item(str(n % 50), n) for n in range(100)], *[item("0", n) for n in range(100, 200)]), "d")
+    return store.read(s.ORDERS, "d"), store.read(s.ITEMS, "d")
+
+
+def test_join_and_window_share_one_shuffle_and_no_hot_branch_runs(spark, raw_tables):
+    with settings(spark, **NO_BROADCAST):
+        plan = final_plan(facts.order(*raw_tables, JANUARY))
+    assert "Window" in plan and "SortMergeJoin" in plan
+    assert "Union" not in plan and "LeftAnti" not in plan
+    # One exchange per join side, none for the window.
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) == 2
+
+
+def test_hot_orders_move_no_rows(spark, raw_tables):
+    with settings(spark, **NO_BROADCAST):
+        plan = final_plan(facts.order(*raw_tables, JANUARY, hot_rows=50))
+    cold, hot = plan.split("Window", 1)[0], plan
+    assert "Union" in cold
+    # Item rows are shuffled in the ordinary branch only; the other one joins in place.
+    shuffled = [line for line in hot.splitlines() if "Exchange hashpartitioning(order_id" in line]
+    assert len(shuffled) >= 2 and plan.count("SortMergeJoin") == 1 and "LeftAnti" in plan
+
+
+def test_hot_orders_are_found_exactly(spark):
+    counts = {"a": 500, "b": 101, "c": 100, **{f"o{n}": 1 for n in range(3000)}}
+    ids = spark.createDataFrame([(o,) for o, n in counts.items() for _ in range(n)] + [(None,)] * 900, "order_id string")
+    found = {row["order_id"] for row in order_groups.hot_orders(ids, hot_rows=100).collect()}
+    assert found == {"a", "b"}
+    assert order_groups.hot_orders(ids).collect() == []
+
+
+def test_hot_limit_grows_with_the_rows(spark):
+    """At most one in HOT_SHARE rows stays ordinary, so fewer than HOT_SHARE orders can be hot."""
+    rows = order_groups.HOT_SHARE * 10
+    ids = spark.range(rows).selectExpr(
+        "case when id < 10 then 'ten' when id < 21 then 'eleven' else cast(id as string) end as order_id"
+    )
+    assert [row["order_id"] for row in order_groups.hot_orders(ids, hot_rows=0).collect()] == ["eleven"]
+
+
+@pytest.fixture(scope="module")
+def skewed_fact(spark, tmp_path_factory):
+    """A third of the rows is one product and one seller, spread over several files."""
+    path = str(tmp_path_factory.mktemp("fact") / "rows")
+    spark.range(0, 30000, 1, 8).selectExpr(
+        "cast(id as string) as order_id", "concat('c', id % 997) as customer_id", "'2020-01-10' as date_id",
+        "case when id % 3 = 0 then 'hot' else concat('k', id % 1000) end as product_id",
+        "case when id % 3 = 0 then 'hot' else concat('k', id % 1000) end as seller_id",
+        "timestamp_ntz '2020-01-10' as order_purchase_timestamp", "timestamp_ntz '2020-01-12' as order_delivered_customer_date",
+        "timestamp_ntz '2020-01-12' as order_estimated_delivery_date", "1 as deliver_duration", "2 as total_duration",
+        "cast(1 as decimal(11,2)) as total_amount",
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("side", ["product", "seller"])
+def test_hot_product_or_seller_is_split(spark, skewed_fact, side):
+    keys = spark.range(1000).selectExpr("concat('k', id) as k").union(spark.sql("select 'hot'"))
+    if side == "product":
+        known = keys.selectExpr("k as product_id", "substr(k, 1, 2) as product_category_en")
+        build = summaries.order_by_category
+    else:
+        known = keys.selectExpr("k as seller_id", "substr(k, 1, 2) as seller_state", "k as seller_city")
+        build = summaries.order_by_seller_region
+    expected = sorted(map(tuple, build(skewed_fact, known, ALL).collect()))
+    with settings(spark, **EAGER_SPLIT):
+        frame = build(skewed_fact, known, ALL)
+        plan = final_plan(frame)
+        assert "skew=true" in plan
+        assert sorted(map(tuple, frame.collect())) == expected
+
+
+def test_customers_are_located_as_one_row_each(spark, skewed_fact):
+    customers = spark.range(997).selectExpr("concat('c', id) as customer_id", "'s' as customer_state", "'t' as customer_city")
+    frame = summaries.order_by_customer_region(skewed_fact, customers, ALL)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan.index("Join Inner")
+    assert plan.index("Window") > joined and "groupBy" not in plan[:joined]
+    assert frame.collect()[0]["region_order_count"] == 30000
+
+
+def test_summary_reads_only_its_columns(spark, tmp_path, capsys):
+    store = Store(spark, str(tmp_path))
+    orders, items = shop.orders(spark, order("a")), shop.items(spark, item("a"))
+    store.overwrite(s.FACT_ORDER, facts.order(orders, items, JANUARY), "2020-02-01")
+    summaries.order_by_date(store.read(s.FACT_ORDER), Select.partition("2020-02-01")).explain("formatted")
+    plan = capsys.readouterr().out
+    columns = re.findall(r"(\w+):", re.search(r"ReadSchema: struct<(.*)>", plan).group(1))
+    assert set(columns) == {
+        "order_id", "customer_id", "date_id", "order_delivered_customer_date", "order_estimated_delivery_date",
+        "total_amount", "deliver_duration", "total_duration",
+    }
+    assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ = 2020-02-01\)\]", plan)
