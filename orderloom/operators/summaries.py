@@ -40,7 +40,8 @@ def order_level(rows: DataFrame, *keys: str) -> DataFrame:
         F.max("deliver_duration").alias("deliver_duration"),
         F.max("total_duration").alias("total_duration"),
         F.max(c.is_overtime()).alias("is_overtime"),
-        F.min("date_id").alias("bought_on"),
+        # A date, not the text of date_id: a text minimum would turn the hash aggregate into a sort.
+        F.min(F.to_date(PURCHASE)).alias("bought_on"),
     )
 
 

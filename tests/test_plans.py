@@ -135,7 +135,19 @@ def test_summary_reads_only_its_columns(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     columns = re.findall(r"(\w+):", re.search(r"ReadSchema: struct<(.*)>", plan).group(1))
     assert set(columns) == {
-        "order_id", "customer_id", "date_id", "order_delivered_customer_date", "order_estimated_delivery_date",
-        "total_amount", "deliver_duration", "total_duration",
+        "order_id", "customer_id", "date_id", "order_purchase_timestamp", "order_delivered_customer_date",
+        "order_estimated_delivery_date", "total_amount", "deliver_duration", "total_duration",
     }
     assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ = 2020-02-01\)\]", plan)
+
+
+def test_no_step_sorts_to_aggregate(spark, raw_tables):
+    fact = facts.order(*raw_tables, JANUARY)
+    for frame in (
+        summaries.order_by_date(fact, ALL),
+        summaries.order_by_customer_region(fact, spark.createDataFrame([], s.DIM_CUSTOMER.schema), ALL),
+        summaries.payment_by_date(spark.createDataFrame([], s.FACT_PAYMENT.schema), fact, ALL),
+        summaries.review_by_date(spark.createDataFrame([], s.FACT_REVIEW.schema), fact, ALL),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
