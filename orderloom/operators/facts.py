@@ -79,6 +79,14 @@ def order_lines(orders: DataFrame, items: DataFrame, window: LoadWindow, hot_row
     return _order_lines(orders, items, window, None, hot_rows)
 
 
+def latest(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Of every order the rows of its newest ``dt``, where later loads brought later states of it."""
+    loaded = fact.withColumn("loaded_on", F.to_date("dt"))
+    newest = loaded.groupBy("order_id").agg(F.max("loaded_on").alias("newest"))
+    joined = join_orders(loaded, newest, hot_orders(fact, hot_rows))
+    return joined.where(F.col("loaded_on") == F.col("newest")).drop("loaded_on", "newest")
+
+
 def valid_payments(payments: DataFrame) -> DataFrame:
     return payments.where(
         _present("order_id", "payment_sequential", "payment_installments")

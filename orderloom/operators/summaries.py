@@ -45,12 +45,26 @@ def order_level(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def customer_level(rows: DataFrame, *keys: str) -> DataFrame:
+def by_person(fact: DataFrame, customers: DataFrame) -> DataFrame:
+    """Count people: the customer id of each order becomes the id of the person behind it."""
+    people = customers.select("customer_id", "customer_unique_id")
+    person = F.coalesce("customer_unique_id", "customer_id")
+    return fact.join(people, "customer_id", "left").withColumn("customer_id", person).drop("customer_unique_id")
+
+
+def first_purchases(fact: DataFrame) -> DataFrame:
+    """First day of every customer, as history for a summary that reads later rows only."""
+    known = fact.where(F.col("customer_id").isNotNull())
+    return known.groupBy("customer_id").agg(F.min(F.to_date(PURCHASE)).alias("first_day"))
+
+
+def customer_level(rows: DataFrame, *keys: str, first_purchase: DataFrame | None = None) -> DataFrame:
     """One row per customer within ``keys``; ``is_new`` when the customer's first day falls in them.
 
-    The first day is taken over all rows given. It is found on the combined
-    rows: a customer has one of them per key, so the window holds groups that
-    do not grow with the number of orders.
+    The first day is taken over all rows given, and over ``first_purchase``
+    where that is given. It is found on the combined rows: a customer has one
+    of them per key, so the window holds groups that do not grow with the
+    number of orders.
     """
     by = [*keys, "customer_id"]
     customers = order_level(rows, *by).groupBy(*by).agg(
@@ -65,7 +79,10 @@ def customer_level(rows: DataFrame, *keys: str) -> DataFrame:
         F.min("bought_on").alias("bought_on"),
     )
     first_day = F.min("bought_on").over(Window.partitionBy("customer_id"))
-    return customers.withColumn("is_new", c.flag(F.col("bought_on") == first_day))
+    if first_purchase is not None:
+        customers = customers.join(first_purchase, "customer_id", "left")
+        first_day = F.least(first_day, F.col("first_day"))
+    return customers.withColumn("is_new", c.flag(F.col("bought_on") == first_day)).drop("first_day")
 
 
 def _order_metrics(customers: DataFrame, keys: list[str], prefix: str, total: str) -> DataFrame:
@@ -91,8 +108,8 @@ def _order_metrics(customers: DataFrame, keys: list[str], prefix: str, total: st
     )
 
 
-def order_by_date(fact: DataFrame, select: Select) -> DataFrame:
-    customers = customer_level(select(fact, PURCHASE), "date_id")
+def order_by_date(fact: DataFrame, select: Select, first_purchase: DataFrame | None = None) -> DataFrame:
+    customers = customer_level(select(fact, PURCHASE), "date_id", first_purchase=first_purchase)
     return SUM_ORDER_BY_DATE.conform(_order_metrics(customers, ["date_id"], "", "daily"))
 
 

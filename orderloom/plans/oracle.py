@@ -142,17 +142,24 @@ CALENDAR = f"""
     )"""
 
 
-def _order_summary(keys: list[str], prefix: str, total: str, source: str, blank_unnamed: bool = False) -> str:
-    """The ten order metrics from item rows: row-level grouping joined to order-level means."""
+def _order_summary(
+    keys: list[str], prefix: str, total: str, source: str, blank_unnamed: bool = False, only: str = "true"
+) -> str:
+    """The ten order metrics from item rows: row-level grouping joined to order-level means.
+
+    First days are taken before ``only`` narrows the rows.
+    """
     by = ", ".join(keys)
     same = " and ".join(f"g.{key} is not distinct from m.{key}" for key in keys)
     named = " and ".join(f"g.{key} is not null" for key in keys) if blank_unnamed else "true"
     out = ", ".join(f"g.{key}" for key in keys)
     return f"""
-    with flagged as (
+    with known as (
         select *, {LATE} as late, {_cents('total_amount')} as amount,
             date_id = min(date_id) over (partition by customer_id) as first_day
         from {source}
+    ), flagged as (
+        select * from known where {only}
     ), groups as (
         select {by}, sum(amount) as amount, count(*) as item_rows,
             count(distinct order_id) as orders, count(distinct customer_id) as customers,
@@ -275,6 +282,22 @@ for _suffix, _window in (("", FULL), ("_increment", MONTH)):
         _raw("orders", "reviews"), _typed(s.FACT_REVIEW, f"({_fact_review(_window)})")
     )
 
+_REDELIVERED = _inside("order_purchase_timestamp", MONTH)
+ORACLES["fact_order_latest"] = _with(
+    {
+        **_raw("items"),
+        "every_order": raw_sql("orders"),
+        "raw_orders": "select * replace (case when "
+        + _REDELIVERED
+        + " then order_delivered_customer_date end as order_delivered_customer_date) from every_order",
+    },
+    _typed(
+        s.FACT_ORDER,
+        f"({_fact_order(FULL)})",
+        f", case when {_REDELIVERED} then '{LATER_DT}' else '{EARLIER_DT}' end as dt",
+    ),
+)
+
 # --- summaries --------------------------------------------------------------
 
 
@@ -299,6 +322,22 @@ ORACLES["sum_order_by_date_daily"] = _summary(
     s.SUM_ORDER_BY_DATE,
     _order_summary(["date_id"], "", "daily", f"(select * from fact_order where date_id = '{DAY}')"),
 )
+ORACLES["sum_order_by_date_daily_with_history"] = _summary(
+    _FACT,
+    s.SUM_ORDER_BY_DATE,
+    _order_summary(["date_id"], "", "daily", "fact_order", only=f"date_id = '{DAY}'"),
+)
+ORACLES["sum_order_by_date_by_person"] = _summary(
+    {**_raw("customers"), **_FACT},
+    s.SUM_ORDER_BY_DATE,
+    _order_summary(
+        ["date_id"],
+        "",
+        "daily",
+        "(select f.* replace (coalesce(customer_unique_id, f.customer_id) as customer_id)"
+        " from fact_order f left join raw_customers c on c.customer_id = f.customer_id)",
+    ),
+)
 ORACLES["sum_order_by_category"] = _by_category(blank_unnamed=False)
 ORACLES["sum_order_by_category_as_written"] = _by_category(blank_unnamed=True)
 

@@ -163,6 +163,16 @@ def fact_review_increment(spark, sf_dir):
     return facts.review(ods_reviews_increment(spark, sf_dir), raw(spark, sf_dir, "orders"), MONTH)
 
 
+@query
+def fact_order_latest(spark, sf_dir):
+    """All orders are loaded before their delivery, one month of them again after it."""
+    orders, items = raw(spark, sf_dir, "orders"), raw(spark, sf_dir, "items")
+    on_the_way = orders.withColumn("order_delivered_customer_date", F.lit(None).cast("timestamp_ntz"))
+    first = facts.order(on_the_way, items, FULL).withColumn("dt", F.lit(EARLIER_DT))
+    again = facts.order(orders, items, MONTH).withColumn("dt", F.lit(LATER_DT))
+    return facts.latest(first.unionByName(again))
+
+
 # --- summaries --------------------------------------------------------------
 
 
@@ -177,6 +187,19 @@ def sum_order_by_date_daily(spark, sf_dir):
     return summaries.order_by_date(fact, Select.partition(DAY))
 
 
+@query
+def sum_order_by_date_daily_with_history(spark, sf_dir):
+    """One day, with customers known from all of history."""
+    fact = _lines(spark, sf_dir).withColumn("dt", F.col("date_id"))
+    return summaries.order_by_date(fact, Select.partition(DAY), summaries.first_purchases(fact))
+
+
+@query
+def sum_order_by_date_by_person(spark, sf_dir):
+    people = dims.customer(raw(spark, sf_dir, "customers"))
+    return summaries.order_by_date(summaries.by_person(_lines(spark, sf_dir), people), ALL)
+
+
 @query
 def sum_order_by_category(spark, sf_dir):
     return summaries.order_by_category(_lines(spark, sf_dir), _products(spark, sf_dir), ALL)

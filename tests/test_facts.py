@@ -183,3 +183,14 @@ def test_hot_orders_give_the_same_payments_and_reviews(spark, hot_rows):
     assert sorted((r["order_id"], r["review_id"]) for r in reviewed) == sorted(
         [("big", f"r{n}") for n in range(30)] + [("small", "s")]
     )
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_latest_load_of_an_order_wins_whole(spark, hot_rows):
+    """The newer load also drops an item that left the order."""
+    rows = [("a", 1, "old", "2020-01-01"), ("a", 2, "old", "2020-01-01"), ("a", 1, "new", "2020-01-03"),
+            ("b", 1, "only", "2020-01-01"), ("c", 1, "one", "2020-01-02"), ("c", 2, "two", "2020-01-02")]
+    fact = spark.createDataFrame(rows, "order_id string, order_item_id int, order_status string, dt string")
+    found = facts.latest(fact, hot_rows=hot_rows)
+    assert found.columns == fact.columns
+    assert sorted(map(tuple, found.collect())) == sorted(rows[2:])

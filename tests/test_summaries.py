@@ -196,3 +196,17 @@ def test_sums_do_not_overflow_ten_digits(spark):
     row = summaries.order_by_date(fact, ALL).collect()[0]
     assert row["daily_gmv"] == D("1199999999.88")
     assert fact.collect()[0]["order_total_amount"] == D("1199999999.88")
+
+
+def test_history_makes_a_day_know_earlier_customers(shop_fact):
+    dated = shop_fact.withColumn("dt", shop_fact["date_id"])
+    history = summaries.first_purchases(dated)
+    row = summaries.order_by_date(dated, Select.partition("2020-01-12"), history).collect()[0]
+    assert row["new_customer_rate"] == D("0.5000")
+
+
+def test_people_behind_several_customer_ids_count_once(spark, shop_fact):
+    people = spark.createDataFrame([("a", "same"), ("b", "same")], "customer_id string, customer_unique_id string")
+    found = by(summaries.order_by_date(summaries.by_person(shop_fact, people), ALL), "date_id")
+    assert found["2020-01-12"]["daily_customer_count"] == 1
+    assert found["2020-01-12"]["new_customer_rate"] == D("0.0000")
