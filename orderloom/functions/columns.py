@@ -11,10 +11,11 @@ MIN_SCORE, MAX_SCORE = 1, 5
 BAD_SCORE_MAX, NEUTRAL_SCORE, GOOD_SCORE_MIN = 2, 3, 4
 SCORE_BUCKETS = {"bad": 1, "neutral": 2, "good": 3}
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,2)"
 MEAN = "decimal(10,2)"
 RATE = "decimal(10,4)"
-_WIDE = "decimal(20,0)"
+_PLACES = {MEAN: 2, RATE: 4}
+_WHOLE = "decimal(38,0)"
 
 
 def day_id(time: str | Column) -> Column:
@@ -89,20 +90,33 @@ def cents(amount: str | Column) -> Column:
     return (amount * 100).cast("long")
 
 
+def whole(number: str | Column) -> Column:
+    """A whole number wide enough for totals that 64 bits cannot hold."""
+    number = F.col(number) if isinstance(number, str) else number
+    return number.cast(_WHOLE)
+
+
 def money(total_cents: str | Column) -> Column:
-    total = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    return (total.cast(_WIDE) * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+    return (whole(total_cents) * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+
+
+def _rounded(part: Column, count: Column) -> Column:
+    """part / count to the nearest whole number, half away from zero; NULL where count is 0.
+
+    Whole-number division is exact at any size. A decimal quotient keeps few
+    places when its operands are wide, and would be rounded twice.
+    """
+    part, count = whole(part), whole(count)
+    size = F.call_function("div", F.abs(part) * 2 + count, F.nullif(count, F.lit(0)) * 2)
+    return F.when(part < 0, -size).otherwise(size)
 
 
-def ratio(part: str | Column, whole: str | Column, to: str = RATE) -> Column:
-    """part / whole rounded half up; NULL where the whole is 0."""
-    part = F.col(part) if isinstance(part, str) else part
-    whole = F.col(whole) if isinstance(whole, str) else whole
-    return F.try_divide(part.cast(_WIDE), whole.cast(_WIDE)).cast(to)
+def ratio(part: str, total: str, to: str = RATE) -> Column:
+    """part / total at the places of ``to``."""
+    unit = 10 ** _PLACES[to]
+    return (_rounded(whole(part) * unit, F.col(total)).cast("decimal(20,0)") / unit).cast(to)
 
 
-def mean_money(total_cents: str | Column, count: str | Column) -> Column:
+def mean_money(total_cents: str, count: str) -> Column:
     """Mean amount of ``count`` units whose cents add up to ``total_cents``."""
-    total = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    count = F.col(count) if isinstance(count, str) else count
-    return F.try_divide(money(total), count.cast("decimal(18,0)")).cast(MONEY)
+    return money(_rounded(F.col(total_cents), F.col(count)))

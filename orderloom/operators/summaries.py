@@ -25,7 +25,7 @@ from orderloom.schemas import (
     SUM_STATUS_BY_DATE,
 )
 
-_ADDED = ("sum_cents", "items", "orders", "deliver_days", "delivered", "total_days", "completed", "late")
+_ADDED = ("items", "orders", "deliver_days", "delivered", "total_days", "completed", "late")
 
 
 def _count() -> Column:
@@ -89,6 +89,7 @@ def _order_metrics(customers: DataFrame, keys: list[str], prefix: str, total: st
     """The ten metrics from rows of ``customer_level``."""
     known = F.col("customer_id").isNotNull()
     grouped = customers.groupBy(*keys).agg(
+        F.sum(c.whole("sum_cents")).alias("sum_cents"),
         *[F.sum(name).alias(name) for name in _ADDED],
         F.count("customer_id").alias("customers"),
         F.sum(F.when(known, F.col("is_new")).otherwise(0)).alias("new_customers"),
@@ -170,10 +171,17 @@ def _with_order_lines(per_order: DataFrame, fact: DataFrame, select: Select, gra
         fact = fact.join(per_order.select("order_id"), "order_id", "left_semi")
     lines = fact.groupBy("order_id").agg(_count().alias("weight"))
     if grain_safe:
-        return per_order.join(lines.select("order_id"), "order_id", "left_semi").withColumn("weight", F.lit(1))
+        return per_order.join(lines.select("order_id"), "order_id", "left_semi")
     return per_order.join(lines, "order_id")
 
 
+def _weighted(grain_safe: bool, *names: str) -> list[Column]:
+    """Totals of the columns; weights multiply past 64 bits for an order with many rows on both sides."""
+    if grain_safe:
+        return [F.sum(name).alias(name) for name in names]
+    return [F.sum(c.whole(name) * c.whole("weight")).alias(name) for name in names]
+
+
 def payment_by_date(payments: DataFrame, fact: DataFrame, select: Select, grain_safe: bool = True) -> DataFrame:
     """Payments of orders in the order fact; ``grain_safe=False`` counts each once per item."""
     paid = F.col("is_installment") == 1
@@ -190,9 +198,8 @@ def payment_by_date(payments: DataFrame, fact: DataFrame, select: Select, grain_
         )
     )
     rows = _with_order_lines(per_order, fact, select, grain_safe)
-    counted = ("payments", "sum_cents", "split_payments", "split_cents", "split_parts")
     grouped = rows.groupBy("date_id").agg(
-        *[F.sum(F.col(name) * F.col("weight")).alias(name) for name in counted],
+        *_weighted(grain_safe, "payments", "sum_cents", "split_payments", "split_cents", "split_parts"),
         F.sum("attempts").alias("attempts"),
         _count().alias("orders"),
     )
@@ -225,8 +232,9 @@ def review_by_date(reviews: DataFrame, fact: DataFrame, select: Select, grain_sa
         )
     )
     rows = _with_order_lines(per_order, fact, select, grain_safe)
-    counted = ("reviews", "score", "good", "replied", "hours", "timed", "commented")
-    grouped = rows.groupBy("date_id").agg(*[F.sum(F.col(name) * F.col("weight")).alias(name) for name in counted])
+    grouped = rows.groupBy("date_id").agg(
+        *_weighted(grain_safe, "reviews", "score", "good", "replied", "hours", "timed", "commented")
+    )
     return SUM_REVIEW_BY_DATE.conform(
         grouped.select(
             "date_id",

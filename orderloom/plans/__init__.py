@@ -1 +1 @@
-"""Load jobs and the registered queries with their reference SQL."""
+"""Load jobs and the registered queries with their checking SQL."""

@@ -11,7 +11,7 @@ _STRING, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T
 _TIME = T.TimestampNTZType()
 _PRICE = T.DecimalType(10, 2)
 _LINE_TOTAL = T.DecimalType(11, 2)
-_MONEY = T.DecimalType(18, 2)
+_MONEY = T.DecimalType(28, 2)
 _MEAN = T.DecimalType(10, 2)
 _RATE = T.DecimalType(10, 4)
 

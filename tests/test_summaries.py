@@ -6,6 +6,7 @@ import pytest
 import shop
 from shop import JANUARY, by, item, order
 
+from orderloom.functions import columns as c
 from orderloom.operators import dims, facts, summaries
 from orderloom.params import Select
 
@@ -210,3 +211,34 @@ def test_people_behind_several_customer_ids_count_once(spark, shop_fact):
     found = by(summaries.order_by_date(summaries.by_person(shop_fact, people), ALL), "date_id")
     assert found["2020-01-12"]["daily_customer_count"] == 1
     assert found["2020-01-12"]["new_customer_rate"] == D("0.0000")
+
+
+def test_rounding_is_exact_for_any_size(spark):
+    rows = spark.createDataFrame(
+        [(1, 8), (-1, 8), (1, 3), (5, 0), (9 * 10**18, 9 * 10**18 - 1), (3, 10**18), (None, 2)],
+        "part bigint, total bigint",
+    )
+    found = rows.select(c.ratio("part", "total", c.MEAN), c.ratio("part", "total"), c.mean_money("part", "total")).collect()
+    assert [tuple(row) for row in found] == [
+        (D("0.13"), D("0.1250"), D("0.00")),
+        (D("-0.13"), D("-0.1250"), D("0.00")),
+        (D("0.33"), D("0.3333"), D("0.00")),
+        (None, None, None),
+        (D("1.00"), D("1.0000"), D("0.01")),
+        (D("0.00"), D("0.0000"), D("0.00")),
+        (None, None, None),
+    ]
+
+
+def test_repeats_of_a_busy_order_do_not_overflow(spark):
+    """Three million items times three million payments of one order, given as stored facts."""
+    many = 3_000_000
+    fact = spark.range(many).selectExpr("'o' as order_id", "timestamp_ntz '2020-01-10' as order_purchase_timestamp")
+    payments = spark.range(many).selectExpr(
+        "'o' as order_id", "'2020-01-10' as date_id", "cast(90000000.01 as decimal(10,2)) as payment_value",
+        "1 as is_installment", "2 as payment_installments", "7 as payment_attempts",
+    )
+    row = summaries.payment_by_date(payments, fact, ALL, grain_safe=False).collect()[0]
+    assert row["daily_payment_count"] == many**2
+    assert row["daily_payment_value"] == many**2 * D("90000000.01")
+    assert (row["installment_gmv_rate"], row["avg_installments"]) == (D("1.0000"), D("2.00"))
