@@ -168,9 +168,10 @@ def fact_order_latest(spark, sf_dir):
     """All orders are loaded before their delivery, one month of them again after it."""
     orders, items = raw(spark, sf_dir, "orders"), raw(spark, sf_dir, "items")
     on_the_way = orders.withColumn("order_delivered_customer_date", F.lit(None).cast("timestamp_ntz"))
-    first = facts.order(on_the_way, items, FULL).withColumn("dt", F.lit(EARLIER_DT))
-    again = facts.order(orders, items, MONTH).withColumn("dt", F.lit(LATER_DT))
-    return facts.latest(first.unionByName(again))
+    store = scratch_store(spark)
+    store.overwrite(s.FACT_ORDER, facts.order(on_the_way, items, FULL), EARLIER_DT)
+    store.overwrite(s.FACT_ORDER, facts.order(orders, items, MONTH), LATER_DT)
+    return facts.latest(store.read(s.FACT_ORDER))
 
 
 # --- summaries --------------------------------------------------------------
