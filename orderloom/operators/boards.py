@@ -5,10 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def daily(calendar: DataFrame, *summaries: DataFrame) -> DataFrame:
-    """Calendar days with the columns of every summary; all inputs are at most one row per day."""
+    """The columns of every summary with those of the calendar; all inputs are at most one row per day."""
     days = reduce(lambda left, right: left.join(right, "date_id", "full"), summaries)
-    return calendar.select("date_id", "year", "month", F.col("is_weekend")).join(days, "date_id")
+    return days.join(calendar.select("date_id", "year", "month", "is_weekend"), "date_id", "left")

@@ -11,13 +11,15 @@ from orderloom.params import LoadWindow
 from orderloom.schemas import Table
 
 
-def csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """A file with header; columns are found by name and typed as declared.
+def csv(spark: SparkSession, path: str, table: Table, line_breaks: bool = False) -> DataFrame:
+    """A file with header, which must name the declared columns in order; doubled quotes stand for one.
 
-    Text may hold line breaks and doubled quotes, as review comments do.
+    ``line_breaks`` is for text that spans lines, as review comments do. Spark
+    reads such a file in one task, so a large table of that kind should come as
+    many files.
     """
     return spark.read.csv(
-        path, schema=table.schema, header=True, enforceSchema=False, multiLine=True, escape='"', mode="FAILFAST"
+        path, schema=table.schema, header=True, enforceSchema=False, multiLine=line_breaks, escape='"', mode="FAILFAST"
     )
 
 

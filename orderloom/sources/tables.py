@@ -28,7 +28,10 @@ class Store:
         rows.write.format("orc").option("compression", "snappy").mode(mode).save(path)
 
     def overwrite(self, table: Table, rows: DataFrame, dt: str) -> None:
-        """Replace one day. Other days stay, and a day that became empty is emptied."""
+        """Replace one day. Other days stay, and a day that became empty is emptied.
+
+        A load that fails leaves the day without rows until it is run again.
+        """
         self._write(table.conform(rows), f"{self.path(table)}/dt={dt}", "overwrite")
 
     def append(self, table: Table, rows: DataFrame, dt: str) -> None:

@@ -1 +1 @@
-"""Structured Streaming feed of the increment tables."""
+"""Structured Streaming feed of raw rows."""

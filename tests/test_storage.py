@@ -91,12 +91,19 @@ def test_csv_with_header(spark, tmp_path):
         'r1,o1,5,,"two\nlines, ""quoted""",2020-01-05 00:00:00,2020-01-06 10:11:12\n'
         "r2,o2,1,,,2020-01-05 00:00:00,\n"
     )
-    first, second = raw.csv(spark, str(path), s.REVIEWS).orderBy("review_id").collect()
+    first, second = raw.csv(spark, str(path), s.REVIEWS, line_breaks=True).orderBy("review_id").collect()
     assert first["review_comment_message"] == 'two\nlines, "quoted"'
     assert (first["review_score"], first["review_answer_timestamp"]) == (5, shop.at("2020-01-06 10:11:12"))
     assert (second["review_comment_message"], second["review_answer_timestamp"]) == (None, None)
 
 
+def test_csv_with_other_columns_raises(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_id,seller_city,seller_zip_code_prefix,seller_state\ns1,lima,01000,SP\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.csv(spark, str(path), s.SELLERS).collect()
+
+
 def test_headerless_csv_is_named_by_position(spark, tmp_path):
     path = tmp_path / "translation.csv"
     path.write_text("moveis,furniture\nluz,light\n")

@@ -1,23 +1,23 @@
-"""A stream of orders lands once in the day of each purchase."""
+"""A stream of orders lands once in the day of each purchase and feeds the daily load."""
 
 import shop
 from shop import order
 
 from orderloom import schemas as s
+from orderloom.operators import ods
 from orderloom.operators.facts import PURCHASE
-from orderloom.plans.loads import INCREMENTS
+from orderloom.params import LoadWindow
 from orderloom.sources.tables import Store
-from orderloom.streaming.increment import land
+from orderloom.streaming.increment import land, landed
 
 
 def test_orders_land_by_day_and_only_once(spark, tmp_path):
     inbox, store = str(tmp_path / "inbox"), Store(spark, str(tmp_path / "store"))
-    table = INCREMENTS["orders"]
 
     def run():
         stream = spark.readStream.schema(s.ORDERS.schema).parquet(inbox)
-        land(stream, table, PURCHASE, store, str(tmp_path / "checkpoint")).awaitTermination()
-        return {row["dt"]: row["count"] for row in store.read(table).groupBy("dt").count().collect()}
+        land(stream, s.ORDERS, PURCHASE, store, str(tmp_path / "checkpoint")).awaitTermination()
+        return {row["dt"]: row["count"] for row in landed(store, s.ORDERS).groupBy("dt").count().collect()}
 
     shop.orders(spark, order("a", bought="2020-01-01 23:59:59"), order("b", bought="2020-01-02"),
                 order("never", bought=None)).write.parquet(inbox)
@@ -25,4 +25,8 @@ def test_orders_land_by_day_and_only_once(spark, tmp_path):
     assert run() == {"2020-01-01": 1, "2020-01-02": 1}
     shop.orders(spark, order("late", bought="2020-01-01 10:00:00")).write.mode("append").parquet(inbox)
     assert run() == {"2020-01-01": 2, "2020-01-02": 1}
-    assert store.read(table, "2020-01-02").drop("dt").collect()[0]["order_id"] == "b"
+    assert landed(store, s.ORDERS, "2020-01-02").collect()[0]["order_id"] == "b"
+
+    day = LoadWindow("2020-01-01", "2020-01-02", "2020-01-02")
+    taken = ods.append_window(landed(store, s.ORDERS), s.ORDERS, PURCHASE, day).collect()
+    assert sorted((row["order_id"], row["dt"]) for row in taken) == [("a", "2020-01-02"), ("late", "2020-01-02")]
