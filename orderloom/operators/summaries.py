@@ -80,7 +80,9 @@ def customer_level(rows: DataFrame, *keys: str, first_purchase: DataFrame | None
     )
     first_day = F.min("bought_on").over(Window.partitionBy("customer_id"))
     if first_purchase is not None:
-        customers = customers.join(first_purchase, "customer_id", "left")
+        # Narrowed to the customers at hand, so that history is filtered before it is shuffled.
+        known = first_purchase.join(customers.select("customer_id"), "customer_id", "left_semi")
+        customers = customers.join(known, "customer_id", "left")
         first_day = F.least(first_day, F.col("first_day"))
     return customers.withColumn("is_new", c.flag(F.col("bought_on") == first_day)).drop("first_day")
 

@@ -66,6 +66,11 @@ class Store:
         rows = self.spark.read.schema(table.stored).orc(self.path(table))
         return rows if dt is None else rows.where(F.col("dt") == dt)
 
+    def register(self, *tables: Table) -> None:
+        """Make tables known to SQL under their names."""
+        for table in tables:
+            self.read(table).createOrReplaceTempView(table.name)
+
 
 def scratch_store(spark: SparkSession) -> Store:
     """A new, empty store in the shared folder the cluster names.

@@ -151,3 +151,11 @@ def test_no_step_sorts_to_aggregate(spark, raw_tables):
     ):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_history_is_narrowed_before_it_is_combined(spark, skewed_fact):
+    day = skewed_fact.withColumn("dt", skewed_fact["date_id"])
+    frame = summaries.order_by_date(day, Select.partition("2020-01-10"), summaries.first_purchases(day))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    combined = next(n for n, line in enumerate(plan.splitlines()) if "min(cast(order_purchase_timestamp" in line and "first_day" in line)
+    assert "Join LeftSemi" in "\n".join(plan.splitlines()[combined : combined + 3])

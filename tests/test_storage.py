@@ -32,6 +32,13 @@ def test_overwrite_replaces_one_day(spark, store):
     assert _days(store.read(s.ORDERS)) == {"2020-01-01": 2}
 
 
+def test_registered_tables_answer_sql(spark, store):
+    store.overwrite(s.ORDERS, shop.orders(spark, order("a"), order("b")), "2020-01-01")
+    store.register(s.ORDERS)
+    found = spark.sql("select dt, count(*) from ods_orders_df group by dt").collect()
+    assert [tuple(row) for row in found] == [("2020-01-01", 2)]
+
+
 def test_append_adds(spark, store):
     one = shop.orders(spark, order("a"))
     for _ in range(2):
