@@ -1,10 +1,11 @@
-"""Readers of the raw inputs: files with or without header, and database tables."""
+"""Readers of the raw inputs: files with or without header, catalog and database tables."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.params import LoadWindow
@@ -31,8 +32,18 @@ def headerless_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=False, escape='"', mode="FAILFAST")
 
 
+def typed(rows: DataFrame, table: Table) -> DataFrame:
+    """Parse the columns of any source, text included, to the declared types; what does not parse raises."""
+    return rows.select(*[F.col(field.name).cast(field.dataType) for field in table.schema.fields])
+
+
 def parquet(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    return table.conform(spark.read.parquet(path))
+    return typed(spark.read.parquet(path), table)
+
+
+def catalog(spark: SparkSession, name: str, table: Table) -> DataFrame:
+    """A table or view the session knows by name."""
+    return typed(spark.read.table(name), table)
 
 
 def window_slices(window: LoadWindow, time: str, slices: int) -> list[str]:

@@ -126,6 +126,17 @@ def test_parquet_source_is_conformed(spark, tmp_path):
     assert raw.parquet(spark, path, s.ITEMS).columns == s.ITEMS.names
 
 
+def test_text_columns_are_parsed(spark):
+    text = [("o1", "1", "p", "s", "2020-01-05 10:00:00", "58.9", "3")]
+    spark.createDataFrame(text, s.ITEMS.names).createOrReplaceTempView("loose_items")
+    found = raw.catalog(spark, "loose_items", s.ITEMS)
+    assert found.dtypes == spark.createDataFrame([], s.ITEMS.schema).dtypes
+    assert tuple(found.collect()[0])[1:2] + tuple(found.collect()[0])[4:] == (
+        1, shop.at("2020-01-05 10:00:00"), shop.dec("58.90"), shop.dec("3.00"))
+    with pytest.raises(Exception, match="(?i)cast"):
+        raw.typed(spark.table("loose_items").selectExpr("* except (price)", "'dear' as price"), s.ITEMS).collect()
+
+
 def test_window_slices_cover_the_window_once(spark):
     window = LoadWindow("2020-01-01", "2020-01-02", "2020-01-02")
     slices = raw.window_slices(window, "t", 7)
