@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import packing, token_files
+from orderloom.llm import line_dedup, mixing, packing, quality_classifier, rule_cascade, simhash, token_files
+from orderloom.llm.common import remainder
 
 TOKENIZER = "word_bpe_49k.json"
+#: Documents that score lower are of low quality.
+QUALITY_LIMIT = 0.3
 
 
 def tokenizer_path() -> str:
@@ -20,11 +23,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), remainder(F.col("doc_id")) == 0
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    score = F.col(quality_classifier.SCORE)
+    rows = quality_classifier.scored(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= QUALITY_LIMIT).cast("int").alias("predicted"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
     return found.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rows = rule_cascade.judge(_table(spark, sf_dir, "documents"), report=report)
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.select(F.col("id").alias("doc_id"), *report, base_failed.alias("base_failed"), (~base_failed & F.col("failed").isNull()).alias("kept"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), least_chars=40, least_docs=5)
+    return rows.select("doc_id", F.col(line_dedup.LINES).alias("n_lines"), F.col(line_dedup.DROPPED).alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     manifest = token_files.write(docs, tokenizer_path(), end_id=2)
@@ -32,8 +65,67 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_packing": op3_packing,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
+    "op8_simhash": op8_simhash,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words of a text, and lower case of A-Z alone, as DuckDB says it.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_SPACE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLES = {
+    "op6_quality_rules": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_SPACE}) <> '') AS lines FROM documents),
+        grams AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+        again AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        inside AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(3) r(k) GROUP BY doc_id),
+        s AS (SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper
+            FROM d LEFT JOIN inside USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                OR NOT (word_chars BETWEEN 3 * n_words AND 12 * n_words) OR 2 * n_upper > word_chars) AS kept
+        FROM s
+    """,
+    "op7_mixing": rf"""
+        WITH RECURSIVE sized AS MATERIALIZED (SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+                ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place FROM documents),
+        s AS MATERIALIZED (SELECT *, ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS w, 3.0::DOUBLE * source_size AS cap
+            FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source)),
+        levels(k, lv) AS (
+            SELECT 0, (SELECT sum(source_size)::DOUBLE / sum(w) FROM s)
+            UNION ALL
+            SELECT k + 1, ((SELECT sum(source_size)::DOUBLE FROM s) - coalesce((SELECT sum(cap) FROM s WHERE lv * w > cap), 0))
+                / (SELECT sum(w) FROM s WHERE NOT lv * w > cap)
+            FROM levels WHERE k < 40 AND EXISTS (SELECT 1 FROM s WHERE NOT lv * w > cap)),
+        aimed AS (SELECT source, source_size, least((SELECT max(lv) FROM levels) * w, cap) AS target FROM s),
+        need AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM aimed),
+        ranked AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.whole, n.target - n.whole * n.source_size AS need,
+                sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place RANGE UNBOUNDED PRECEDING) AS upto,
+                sum(d.size) OVER (PARTITION BY d.source, d.place) AS own
+            FROM sized d JOIN need n ON d.source IS NOT DISTINCT FROM n.source)
+        SELECT doc_id, size, source_size, target,
+            (size * (whole + CASE WHEN need > 0 AND upto - own / 2 < need THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM ranked
+    """,
+    "op9_line_dedup": rf"""
+        WITH lines AS (SELECT doc_id, generate_subscripts(x, 1) AS i, unnest(x) AS line
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+        keyed AS (SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+        repeated AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        judged AS (SELECT k.doc_id, k.i, k.line, coalesce(r.keeper <> k.doc_id, FALSE) AS gone FROM keyed k LEFT JOIN repeated r USING (key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
+}
