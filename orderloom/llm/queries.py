@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import line_dedup, mixing, packing, quality_classifier, rule_cascade, simhash, token_files
+from orderloom.llm import embedding_dedup, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, token_files
 from orderloom.llm.common import remainder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,11 +31,30 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= QUALITY_LIMIT).cast("int").alias("predicted"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document the closest licence (null: none), its Dice coefficient, and how many segments match one."""
+    rows = license_scan.scan(_table(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("matches", lambda m: m["dice"]))
+    names = F.transform(F.filter("matches", lambda m: m["dice"] == best), lambda m: m["license"])
+    return rows.select(F.col("id").alias("doc_id"), F.array_min(names).alias("license"), best.alias("dice"), F.size("matches").cast("long").alias("n_matches"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
     return found.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id")) == 1
+    rows = lm_scoring.scored(_table(spark, sf_dir, "documents"), ~held_out).withColumnRenamed("id", "doc_id")
+    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), limit=0.95)
+    return rows.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     rows = rule_cascade.judge(_table(spark, sf_dir, "documents"), report=report)
@@ -66,7 +85,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_license_scan": op2_license_scan,
     "op3_packing": op3_packing,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
