@@ -15,11 +15,13 @@ from itertools import islice
 import numpy as np
 
 #: Words a worker remembers. The memory is emptied when full, which changes the time taken only.
-REMEMBERED = 800_000
+REMEMBERED = 1_500_000
 #: Words encoded by one call.
 AT_ONCE = 2_000
 #: Stands between the words of a call; a word that holds it is encoded alone.
-MARK = "\x01"
+MARK = b"\x01"
+#: Marks that stand apart from a letter or digit before them.
+ENDS = {b".", b",", b";", b":", b"!", b"?"}
 
 
 class Encoder:
@@ -30,7 +32,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.mark = self.ids(MARK)
+        self.mark = self.ids(MARK.decode())
         self.memo: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
@@ -38,13 +40,20 @@ class Encoder:
         return np.asarray(one.ids, dtype=self.dtype)
 
     def _learn(self, words: set[bytes]) -> None:
-        plain = [w for w in words if MARK.encode() not in w]
-        for w in words:
-            if MARK.encode() in w:
+        """Words that differ in one mark at their end share the encoding of what they have in common."""
+        known, cores, marked = list(words), [], []
+        for w in known:
+            end = w[-1:]
+            two = end in ENDS and w[-2:-1].isalnum()
+            marked.append(end if two else b"")
+            cores.append(w[:-1] if two else w)
+        new = {*cores, *ENDS}.difference(self.memo)
+        plain = iter([w for w in new if MARK not in w])
+        for w in new:
+            if MARK in w:
                 self.memo[w] = self.ids(w.decode()).tobytes()
-        rest = iter(plain)
-        while some := list(islice(rest, AT_ONCE)):
-            ids = self.ids(f" {MARK} ".join(w.decode() for w in some) + f" {MARK}")
+        while some := list(islice(plain, AT_ONCE)):
+            ids = self.ids((b" %b " % MARK).join([*some, b""]).decode())
             size = self.dtype.itemsize
             ends, raw = (np.flatnonzero(ids == self.mark[0]) * size).tolist(), ids.tobytes()
             if len(ends) != len(some) or len(self.mark) != 1:
@@ -53,6 +62,9 @@ class Encoder:
             for w, end in zip(some, ends, strict=True):
                 self.memo[w] = raw[start:end]
                 start = end + size
+        memo = self.memo
+        for w, core, end in zip(known, cores, marked, strict=True):
+            memo[w] = memo[core] + memo[end] if end else memo[core]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Of each text the ids, packed in ``dtype``; a null text has none."""
