@@ -184,7 +184,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
     schema = T.StructType([T.StructField("id", kind), T.StructField("digest", T.BinaryType())])
     suspects = scratch.keep(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_suspects(least_chars, shards, held), schema), "suspects")
     in_docs = suspects.groupBy("digest", "id").agg(F.lit(1).alias("one"))
-    repeated = in_docs.groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= least_docs)
+    repeated = scratch.keep(in_docs.groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= least_docs), "repeated")
     drops = suspects.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("digest").alias("__drop"))
 
     both = docs.alias("d").join(drops.alias("x"), F.col(f"d.{id_col}").eqNullSafe(F.col("x.id")), "left").select("d.*", "x.__drop")
