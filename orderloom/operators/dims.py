@@ -15,7 +15,6 @@ from orderloom.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_SELLER
 
 # Fixed values of the calendar.
 HORIZON_DAYS = 365 * 50
-LONGEST_CALENDAR_DAYS = 365 * 60
 SUNDAY, SATURDAY = 1, 7
 
 
@@ -53,14 +52,8 @@ def date_bounds(orders: DataFrame) -> DataFrame:
 
 
 def date(orders: DataFrame, horizon_days: int = HORIZON_DAYS) -> DataFrame:
-    """Every day from the first purchase to ``horizon_days`` after the last one.
-
-    At most ``LONGEST_CALENDAR_DAYS`` rows, however many orders there are.
-    """
-    last = F.least(
-        F.date_add("last_day", horizon_days),
-        F.date_add("first_day", LONGEST_CALENDAR_DAYS - 1),
-    )
+    """Every day from the first purchase to ``horizon_days`` after the last one."""
+    last = F.date_add("last_day", horizon_days)
     days = date_bounds(orders).select(F.explode(F.sequence("first_day", last)).alias("day_date"))
     return DIM_DATE.conform(
         days.select(

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
-from orderloom.operators.order_groups import HOT_ROWS, hot_orders, join_orders
+from orderloom.operators.order_groups import join_orders
 from orderloom.params import LoadWindow
 from orderloom.schemas import FACT_ORDER, FACT_PAYMENT, FACT_REVIEW
 
 PURCHASE = "order_purchase_timestamp"
 CREATION = "review_creation_date"
+MILESTONES = ("order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date")
 
 
 def _present(*names: str) -> Column:
@@ -25,6 +26,10 @@ def _present(*names: str) -> Column:
     return condition
 
 
+def _bought(orders: DataFrame, window: LoadWindow | None) -> DataFrame:
+    return orders.where(window.holds(PURCHASE)) if window else orders
+
+
 def valid_items(items: DataFrame) -> DataFrame:
     return items.where(
         _present("order_id", "order_item_id", "product_id", "seller_id")
@@ -41,9 +46,9 @@ def order_totals() -> dict[str, Column]:
 
 
 def _order_lines(
-    orders: DataFrame, items: DataFrame, window: LoadWindow, totals: dict[str, Column] | None, hot_rows: int
+    orders: DataFrame, items: DataFrame, window: LoadWindow | None, totals: dict[str, Column] | None
 ) -> DataFrame:
-    kept = orders.where(c.valid_status() & window.holds(PURCHASE)).select(
+    kept = _bought(orders.where(c.valid_status()), window).select(
         "order_id",
         "customer_id",
         "order_status",
@@ -66,24 +71,24 @@ def _order_lines(
         "freight_value",
         (F.col("price") + F.col("freight_value")).alias("total_amount"),
     )
-    return join_orders(lines, kept, hot_orders(items, hot_rows), totals)
+    return join_orders(lines, kept, totals)
 
 
-def order(orders: DataFrame, items: DataFrame, window: LoadWindow, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Valid items of the fulfilled orders bought in the window."""
-    return FACT_ORDER.conform(_order_lines(orders, items, window, order_totals(), hot_rows))
+def order(orders: DataFrame, items: DataFrame, window: LoadWindow | None) -> DataFrame:
+    """Valid items of the fulfilled orders bought in the window; without one, of all orders given."""
+    return FACT_ORDER.conform(_order_lines(orders, items, window, order_totals()))
 
 
-def order_lines(orders: DataFrame, items: DataFrame, window: LoadWindow, hot_rows: int = HOT_ROWS) -> DataFrame:
+def order_lines(orders: DataFrame, items: DataFrame, window: LoadWindow) -> DataFrame:
     """The order fact without its order totals, for summaries fed straight from raw rows."""
-    return _order_lines(orders, items, window, None, hot_rows)
+    return _order_lines(orders, items, window, None)
 
 
-def latest(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def latest(fact: DataFrame) -> DataFrame:
     """Of every order the rows of its newest ``dt``, where later loads brought later states of it."""
     loaded = fact.withColumn("loaded_on", F.to_date("dt"))
     newest = loaded.groupBy("order_id").agg(F.max("loaded_on").alias("newest"))
-    joined = join_orders(loaded, newest, hot_orders(fact, hot_rows))
+    joined = join_orders(loaded, newest)
     return joined.where(F.col("loaded_on") == F.col("newest")).drop("loaded_on", "newest")
 
 
@@ -95,9 +100,9 @@ def valid_payments(payments: DataFrame) -> DataFrame:
     )
 
 
-def payment(payments: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Valid payments of the orders bought in the window, void orders included."""
-    kept = orders.where(_present("customer_id") & window.holds(PURCHASE)).select(
+def payment(payments: DataFrame, orders: DataFrame, window: LoadWindow | None) -> DataFrame:
+    """Valid payments of the orders bought in the window, void orders included; without one, of all orders given."""
+    kept = _bought(orders.where(_present("customer_id")), window).select(
         "order_id", "customer_id", c.day_id(PURCHASE).alias("date_id")
     )
     lines = valid_payments(payments).select(
@@ -109,14 +114,14 @@ def payment(payments: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows
         c.flag(F.col("payment_installments") > 1).alias("is_installment"),
     )
     totals = {"payment_attempts": F.max("payment_sequential")}
-    return FACT_PAYMENT.conform(join_orders(lines, kept, hot_orders(payments, hot_rows), totals))
+    return FACT_PAYMENT.conform(join_orders(lines, kept, totals))
 
 
 def valid_reviews(reviews: DataFrame) -> DataFrame:
     return reviews.where(_present("order_id", "review_id") & c.valid_score())
 
 
-def review(reviews: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows: int = HOT_ROWS) -> DataFrame:
+def review(reviews: DataFrame, orders: DataFrame, window: LoadWindow) -> DataFrame:
     """Valid reviews created in the window, whenever their order was bought."""
     kept = orders.where(_present("customer_id")).select("order_id", "customer_id", "order_delivered_customer_date")
     lines = valid_reviews(reviews).where(window.holds(CREATION)).select(
@@ -134,7 +139,7 @@ def review(reviews: DataFrame, orders: DataFrame, window: LoadWindow, hot_rows:
         F.char_length("review_comment_message").alias("comment_count"),
         c.has_text("review_comment_message").alias("has_comment"),
     )
-    joined = join_orders(lines, kept, hot_orders(reviews, hot_rows))
+    joined = join_orders(lines, kept)
     return FACT_REVIEW.conform(
         joined.withColumn("days_to_review", c.days_between("order_delivered_customer_date", CREATION))
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,13 @@ def append_window(source: DataFrame, table: Table, time: str, window: LoadWindow
     return snapshot(source.where(window.holds(time)), table, window.dt)
 
 
+def changed(orders: DataFrame, table: Table, bought: str, milestones: tuple[str, ...], window: LoadWindow) -> DataFrame:
+    """Orders bought before the window that reached one of the milestones in it."""
+    reached = reduce(or_, (window.holds(time) for time in milestones))
+    earlier = F.col(bought) < F.lit(window.start).cast("timestamp_ntz")
+    return snapshot(orders.where(earlier & reached), table, window.dt)
+
+
 def append_of_orders(source: DataFrame, table: Table, orders: DataFrame, dt: str) -> DataFrame:
     """Increment of a source without event time: the rows of the orders in their increment."""
     return snapshot(source.join(orders.select("order_id"), "order_id", "left_semi"), table, dt)

@@ -1,75 +1,34 @@
-"""Join rows to their orders and attach order-level totals, hot orders included.
+"""Join rows to their orders and attach order-level totals, orders of any size included.
 
-Ordinary orders take one shuffle on ``order_id`` that serves the join and the
-window alike. An order that holds a large share of all rows would pull them
-into one task that way, so such orders go a second way without moving their
-rows: the few hot orders are broadcast, and their totals come from a grouped
-aggregate, which combines in every task before it shuffles. Where no order is
-hot, adaptive execution drops the second way before it runs.
+An order passes or fails its filters as a whole and ``orders`` has one row per
+``order_id``, so its totals need no join: they are a grouped aggregate of the
+rows, combined in every task before it shuffles, and join the orders one to
+one. What then joins the rows is one row per order, under a key of its own.
+That key has an exchange of its own, so adaptive execution can split the rows
+of a hot order among tasks. Each task joins its part with the same one row.
+
+The price: with totals the rows are read twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An order is hot when it has more than HOT_ROWS rows and more than one in
-# HOT_SHARE of all rows. Fewer than HOT_SHARE orders can be, so that many keys
-# bound every broadcast here, however large the data.
-HOT_SHARE = 4096
-HOT_ROWS = 1_000_000
-BUCKETS = 4 * HOT_SHARE
-
+_KEY = "__order_key"
 
-def hot_orders(source: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Ids of the hot orders.
-
-    Give it the uncleaned rows: counting them reads the id column alone, and an
-    order that only looks hot before cleaning is merely joined the other way.
-    Ids are first counted in ``BUCKETS`` hash buckets, a small shuffle whatever
-    the number of orders; only the ids of overfull buckets, usually none, are
-    then counted one by one.
-    """
-    ids = source.where(F.col("order_id").isNotNull()).select(
-        "order_id", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).alias("bucket")
-    )
-    sizes = ids.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
-    limit = F.greatest(F.lit(hot_rows), F.ceil(F.sum("n_rows") / HOT_SHARE))
-    overfull = (
-        sizes.agg(F.collect_list(F.struct("bucket", "n_rows")).alias("sizes"), limit.alias("limit"))
-        .select("limit", F.explode("sizes").alias("size"))
-        .where(F.col("size.n_rows") > F.col("limit"))
-        .select("size.bucket", "limit")
-    )
-    counted = (
-        ids.join(F.broadcast(overfull), "bucket")
-        .groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.max("limit").alias("limit"))
-    )
-    return counted.where(F.col("n_rows") > F.col("limit")).select("order_id")
 
-
-def join_orders(
-    rows: DataFrame, orders: DataFrame, hot: DataFrame, totals: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """Inner join on ``order_id``; ``totals`` are aggregates over the joined rows of an order.
+def join_orders(rows: DataFrame, orders: DataFrame, totals: Mapping[str, Column] | None = None) -> DataFrame:
+    """Inner join on ``order_id``; ``totals`` are aggregates over the rows of an order.
 
     ``orders`` holds one row per ``order_id``, as its documented key says. Both
-    inputs must be filtered already: totals see the rows that survived. ``hot``
-    comes from ``hot_orders``.
+    inputs must be filtered already: totals see the rows that survived.
     """
-    totals = totals or {}
-    hot = F.broadcast(hot)
-
-    per_order = Window.partitionBy("order_id")
-    cold = rows.join(hot, "order_id", "left_anti").join(orders, "order_id")
-    cold = cold.select("*", *[agg.over(per_order).alias(name) for name, agg in totals.items()])
-
-    few_orders = F.broadcast(orders.join(hot, "order_id", "left_semi"))
-    crowded = rows.join(few_orders, "order_id")
     if totals:
-        sums = crowded.groupBy("order_id").agg(*[agg.alias(name) for name, agg in totals.items()])
-        crowded = crowded.join(F.broadcast(sums), "order_id")
-    return cold.unionByName(crowded)
+        summed = rows.groupBy("order_id").agg(*[agg.alias(name) for name, agg in totals.items()])
+        orders = orders.join(summed, "order_id")
+    # A new expression: an order side that is already dealt by order_id would need no exchange, and without one nothing is split.
+    keyed = orders.withColumn(_KEY, F.concat("order_id", F.lit(""))).drop("order_id")
+    return rows.join(keyed, rows["order_id"] == F.col(_KEY)).drop(_KEY)

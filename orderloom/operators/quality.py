@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
-from orderloom.schemas import Table
+from orderloom.schemas import RAW, Table
 
 
 def order_rules() -> dict[str, Column]:
@@ -104,14 +105,39 @@ def reviews_report(reviews: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(rows: DataFrame, table: Table, table_name: str) -> DataFrame:
-    """Key values that occur more than once, key columns joined by ``|``."""
+    """Key values that occur more than once, key columns joined by ``|``, NULL as ``\\N``."""
     return (
         rows.groupBy(*table.key)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
         .select(
             F.lit(table_name).alias("table_name"),
-            F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in table.key]).alias("key_value"),
+            F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit(r"\N")) for k in table.key]).alias("key_value"),
             "n_rows",
         )
     )
+
+
+def rules_report(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    return (
+        orders_report(orders, items)
+        .unionByName(payments_report(payments, orders))
+        .unionByName(reviews_report(reviews, orders))
+    )
+
+
+def all_duplicate_keys(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Repeats in every raw table that declares a key."""
+    found = [duplicate_keys(rows, RAW[name], name) for name, rows in raw.items() if RAW[name].key]
+    return reduce(DataFrame.unionByName, found)
+
+
+def late_rows(rows: DataFrame, table: Table, loaded_orders: DataFrame, loaded: DataFrame, table_name: str) -> DataFrame:
+    """Rows that came after their order was loaded, and so are in no increment."""
+    key = list(table.key)
+    of_loaded = rows.join(loaded_orders.select("order_id"), "order_id", "left_semi")
+    counted = of_loaded.agg(F.count(F.lit(1)).alias("checked_rows"))
+    missing = of_loaded.join(loaded.select(*key), key, "left_anti").agg(F.count(F.lit(1)).alias("failed_rows"))
+    return counted.join(missing, F.lit(True)).select(
+        F.lit(table_name).alias("table_name"), F.lit("not loaded with its order").alias("rule"), "checked_rows", "failed_rows"
+    )

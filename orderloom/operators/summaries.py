@@ -45,11 +45,16 @@ def order_level(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def by_person(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Count people: the customer id of each order becomes the id of the person behind it."""
+def by_person(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Count people: the customer id of each order becomes the id of the person behind it.
+
+    Orders without customer match nobody; kept out of the join they form no hot group.
+    """
     people = customers.select("customer_id", "customer_unique_id")
     person = F.coalesce("customer_unique_id", "customer_id")
-    return fact.join(people, "customer_id", "left").withColumn("customer_id", person).drop("customer_unique_id")
+    named = orders.where(F.col("customer_id").isNotNull()).join(people, "customer_id", "left")
+    named = named.withColumn("customer_id", person).drop("customer_unique_id")
+    return named.unionByName(orders.where(F.col("customer_id").isNull()))
 
 
 def first_purchases(fact: DataFrame) -> DataFrame:
@@ -58,16 +63,21 @@ def first_purchases(fact: DataFrame) -> DataFrame:
     return known.groupBy("customer_id").agg(F.min(F.to_date(PURCHASE)).alias("first_day"))
 
 
-def customer_level(rows: DataFrame, *keys: str, first_purchase: DataFrame | None = None) -> DataFrame:
+def customer_level(
+    rows: DataFrame, *keys: str, first_purchase: DataFrame | None = None, people: DataFrame | None = None
+) -> DataFrame:
     """One row per customer within ``keys``; ``is_new`` when the customer's first day falls in them.
 
     The first day is taken over all rows given, and over ``first_purchase``
     where that is given. It is found on the combined rows: a customer has one
     of them per key, so the window holds groups that do not grow with the
-    number of orders.
+    number of orders. With ``people`` the customers are people.
     """
     by = [*keys, "customer_id"]
-    customers = order_level(rows, *by).groupBy(*by).agg(
+    orders = order_level(rows, *by)
+    if people is not None:
+        orders = by_person(orders, people)
+    customers = orders.groupBy(*by).agg(
         F.sum("sum_cents").alias("sum_cents"),
         F.sum("items").alias("items"),
         _count().alias("orders"),
@@ -111,16 +121,26 @@ def _order_metrics(customers: DataFrame, keys: list[str], prefix: str, total: st
     )
 
 
-def order_by_date(fact: DataFrame, select: Select, first_purchase: DataFrame | None = None) -> DataFrame:
-    customers = customer_level(select(fact, PURCHASE), "date_id", first_purchase=first_purchase)
+def order_by_date(
+    fact: DataFrame, select: Select, first_purchase: DataFrame | None = None, people: DataFrame | None = None
+) -> DataFrame:
+    """``people``: the customer dimension, to count people instead of customer ids."""
+    rows = select(fact, PURCHASE)
+    customers = customer_level(rows, "date_id", first_purchase=first_purchase, people=people)
     return SUM_ORDER_BY_DATE.conform(_order_metrics(customers, ["date_id"], "", "daily"))
 
 
-def order_by_category(fact: DataFrame, products: DataFrame, select: Select, grain_safe: bool = True) -> DataFrame:
+def order_by_category(
+    fact: DataFrame,
+    products: DataFrame,
+    select: Select,
+    grain_safe: bool = True,
+    first_purchase: DataFrame | None = None,
+) -> DataFrame:
     """``grain_safe=False`` leaves durations and lateness of the unnamed category empty."""
     names = products.select("product_id", F.col("product_category_en").alias("cate_name"))
     rows = select(fact, PURCHASE).join(names, "product_id")
-    metrics = _order_metrics(customer_level(rows, "cate_name"), ["cate_name"], "cate_", "cate")
+    metrics = _order_metrics(customer_level(rows, "cate_name", first_purchase=first_purchase), ["cate_name"], "cate_", "cate")
     if not grain_safe:
         for name in ("cate_avg_deliver_duration", "cate_avg_total_duration", "cate_overtime_rate"):
             metrics = metrics.withColumn(name, F.when(F.col("cate_name").isNotNull(), F.col(name)))
@@ -128,16 +148,23 @@ def order_by_category(fact: DataFrame, products: DataFrame, select: Select, grai
 
 
 def order_by_customer_region(fact: DataFrame, customers: DataFrame, select: Select) -> DataFrame:
-    """Customers are located after their orders are combined, so a busy customer joins as one row."""
+    """Customers are located after their orders are combined, so a busy customer joins as one row.
+
+    Orders of unknown customers count in the region without a name. There is no share of new customers: a
+    customer has one region, so all would be new.
+    """
     keys = ["customer_state", "customer_city"]
-    located = customer_level(select(fact, PURCHASE)).join(customers.select("customer_id", *keys), "customer_id")
+    located = customer_level(select(fact, PURCHASE)).join(customers.select("customer_id", *keys), "customer_id", "left")
     return SUM_ORDER_BY_CUSTOMER_REGION.conform(_order_metrics(located, keys, "region_", "region"))
 
 
-def order_by_seller_region(fact: DataFrame, sellers: DataFrame, select: Select) -> DataFrame:
+def order_by_seller_region(
+    fact: DataFrame, sellers: DataFrame, select: Select, first_purchase: DataFrame | None = None
+) -> DataFrame:
+    """Items of unknown sellers count in the region without a name."""
     keys = ["seller_state", "seller_city"]
-    rows = select(fact, PURCHASE).join(sellers.select("seller_id", *keys), "seller_id")
-    return SUM_ORDER_BY_SELLER_REGION.conform(_order_metrics(customer_level(rows, *keys), keys, "region_", "region"))
+    rows = select(fact, PURCHASE).join(sellers.select("seller_id", *keys), "seller_id", "left")
+    return SUM_ORDER_BY_SELLER_REGION.conform(_order_metrics(customer_level(rows, *keys, first_purchase=first_purchase), keys, "region_", "region"))
 
 
 def order_status_by_date(orders: DataFrame, select: Select) -> DataFrame:

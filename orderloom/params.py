@@ -27,7 +27,7 @@ class LoadWindow:
 
 @dataclass(frozen=True)
 class Select:
-    """Which fact rows a summary reads: a time window, or one ``dt`` partition."""
+    """Which fact rows a summary reads: a time window, one ``dt`` partition, or all rows given."""
 
     window: LoadWindow | None = None
     dt: str | None = None
@@ -36,6 +36,10 @@ class Select:
     def between(cls, window: LoadWindow) -> Select:
         return cls(window=window)
 
+    @classmethod
+    def all(cls) -> Select:
+        return cls()
+
     @classmethod
     def partition(cls, dt: str) -> Select:
         return cls(dt=dt)

@@ -2,13 +2,20 @@
 
 Each table is one write. Nothing is kept in memory between layers, so a lost
 executor costs the tasks it ran and a failed load can be run again.
+
+A full load computes every table from all history into one ``dt``. A daily load
+adds a day: the orders bought in its window, and the orders bought earlier that
+reached a milestone in it. The fact partition of a day holds both, so the newest
+partition that has an order holds its latest state, and the day summary of a
+load has every day of purchase that it touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderloom import schemas as s
 from orderloom.operators import boards, dims, facts, ods, quality, summaries
@@ -25,86 +32,154 @@ INCREMENTS = {
     "reviews": s.REVIEWS.named("ods_reviews_di"),
 }
 
+# The sources a daily load copies whole unless told otherwise: those its own steps read.
+DAILY_COPIES = ("customers", "sellers", "products", "translation", "orders")
+
 
 def snapshots(store: Store, sources: Mapping[str, DataFrame], dt: str) -> None:
     for name, rows in sources.items():
         store.overwrite(s.RAW[name], rows, dt)
 
 
-def dimensions(store: Store, dt: str) -> None:
-    products, translation = store.read(s.PRODUCTS, dt), store.read(s.TRANSLATION, dt)
+def dimensions(store: Store, products: DataFrame, translation: DataFrame, customers: DataFrame, sellers: DataFrame, dt: str) -> None:
     store.overwrite(s.DIM_PRODUCT, dims.product(products, translation), dt)
-    store.overwrite(s.DIM_CUSTOMER, dims.customer(store.read(s.CUSTOMERS, dt)), dt)
-    store.overwrite(s.DIM_SELLER, dims.seller(store.read(s.SELLERS, dt)), dt)
+    store.overwrite(s.DIM_CUSTOMER, dims.customer(customers), dt)
+    store.overwrite(s.DIM_SELLER, dims.seller(sellers), dt)
 
 
 def calendar(store: Store, dt: str) -> None:
     store.replace(s.DIM_DATE, dims.date(store.read(s.ORDERS, dt)))
 
 
-def increments(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow, write) -> None:
-    dt = window.dt
-    write(INCREMENTS["orders"], ods.append_window(sources["orders"], s.ORDERS, facts.PURCHASE, window), dt)
-    # The stored increment, not the filtered source: its true size lets Spark
-    # filter the other sources where they are read instead of shuffling them.
-    orders = store.read(INCREMENTS["orders"], dt)
-    write(INCREMENTS["items"], ods.append_of_orders(sources["items"], s.ITEMS, orders, dt), dt)
-    write(INCREMENTS["payments"], ods.append_of_orders(sources["payments"], s.PAYMENTS, orders, dt), dt)
-    write(INCREMENTS["reviews"], ods.append_window(sources["reviews"], s.REVIEWS, facts.CREATION, window), dt)
-
-
-def summarise(store: Store, select: Select, dt: str) -> None:
-    fact = store.read(s.FACT_ORDER)
-    payments, reviews = store.read(s.FACT_PAYMENT), store.read(s.FACT_REVIEW)
+def _by_key(store: Store, fact: DataFrame, select: Select, dt: str, history: DataFrame | None) -> None:
+    """The order summaries that have no day among their keys."""
     products = store.read(s.DIM_PRODUCT, dt)
     customers, sellers = store.read(s.DIM_CUSTOMER, dt), store.read(s.DIM_SELLER, dt)
-    store.overwrite(s.SUM_ORDER_BY_DATE, summaries.order_by_date(fact, select), dt)
-    store.overwrite(s.SUM_ORDER_BY_CATEGORY, summaries.order_by_category(fact, products, select), dt)
-    store.overwrite(
-        s.SUM_ORDER_BY_CUSTOMER_REGION, summaries.order_by_customer_region(fact, customers, select), dt
-    )
-    store.overwrite(s.SUM_ORDER_BY_SELLER_REGION, summaries.order_by_seller_region(fact, sellers, select), dt)
-    store.overwrite(s.SUM_PAYMENT_BY_DATE, summaries.payment_by_date(payments, fact, select), dt)
-    store.overwrite(s.SUM_REVIEW_BY_DATE, summaries.review_by_date(reviews, fact, select), dt)
+    by_category = summaries.order_by_category(fact, products, select, first_purchase=history)
+    store.overwrite(s.SUM_ORDER_BY_CATEGORY, by_category, dt)
+    store.overwrite(s.SUM_ORDER_BY_CUSTOMER_REGION, summaries.order_by_customer_region(fact, customers, select), dt)
+    by_seller = summaries.order_by_seller_region(fact, sellers, select, first_purchase=history)
+    store.overwrite(s.SUM_ORDER_BY_SELLER_REGION, by_seller, dt)
+
+
+def _quality_and_boards(store: Store, raw: Mapping[str, DataFrame], dt: str) -> None:
+    store.overwrite(s.QUALITY_RULES, quality.rules_report(raw["orders"], raw["items"], raw["payments"], raw["reviews"]), dt)
+    store.overwrite(s.QUALITY_DUPLICATES, quality.all_duplicate_keys(raw), dt)
+    whole = board(store, dt)
+    for table in s.BOARDS:
+        store.overwrite(table, boards.cut(whole, table), dt)
 
 
 def full_load(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow) -> None:
     """All history into partition ``window.dt`` of every table."""
     dt = window.dt
     snapshots(store, sources, dt)
-    dimensions(store, dt)
+    raw = {name: store.read(s.RAW[name], dt) for name in sources}
+    dimensions(store, raw["products"], raw["translation"], raw["customers"], raw["sellers"], dt)
     calendar(store, dt)
-    orders = store.read(s.ORDERS, dt)
-    store.overwrite(s.FACT_ORDER, facts.order(orders, store.read(s.ITEMS, dt), window), dt)
-    store.overwrite(s.FACT_PAYMENT, facts.payment(store.read(s.PAYMENTS, dt), orders, window), dt)
-    store.overwrite(s.FACT_REVIEW, facts.review(store.read(s.REVIEWS, dt), orders, window), dt)
+    store.overwrite(s.FACT_ORDER, facts.order(raw["orders"], raw["items"], window), dt)
+    store.overwrite(s.FACT_PAYMENT, facts.payment(raw["payments"], raw["orders"], window), dt)
+    store.overwrite(s.FACT_REVIEW, facts.review(raw["reviews"], raw["orders"], window), dt)
+    # Other loads have partitions of their own; reading them too would count their orders again.
+    fact, payments, reviews = (store.read(t, dt) for t in (s.FACT_ORDER, s.FACT_PAYMENT, s.FACT_REVIEW))
+    store.overwrite(s.FIRST_PURCHASE, summaries.first_purchases(fact), dt)
     select = Select.between(window)
-    store.overwrite(s.SUM_STATUS_BY_DATE, summaries.order_status_by_date(orders, select), dt)
-    summarise(store, select, dt)
-
-
-def daily_load(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow, append: bool = False) -> None:
+    store.overwrite(s.SUM_STATUS_BY_DATE, summaries.order_status_by_date(raw["orders"], select), dt)
+    store.overwrite(s.SUM_ORDER_BY_DATE, summaries.order_by_date(fact, select), dt)
+    store.overwrite(s.SUM_PAYMENT_BY_DATE, summaries.payment_by_date(payments, fact, select), dt)
+    store.overwrite(s.SUM_REVIEW_BY_DATE, summaries.review_by_date(reviews, fact, select), dt)
+    _by_key(store, fact, select, dt, None)
+    _quality_and_boards(store, raw, dt)
+
+
+def increments(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow, append: bool) -> dict[str, DataFrame]:
+    """Store the rows of the window; returns those of this run, not what earlier runs appended."""
+    dt, taken = window.dt, {}
+
+    def store_one(name: str, rows: DataFrame) -> None:
+        (store.append if append else store.overwrite)(INCREMENTS[name], rows, dt)
+        # The stored increment, not the filtered source: its true size lets Spark
+        # filter the other sources where they are read instead of shuffling them.
+        taken[name] = rows if append else store.read(INCREMENTS[name], dt)
+
+    store_one("orders", ods.append_window(sources["orders"], s.ORDERS, facts.PURCHASE, window))
+    for name in ("items", "payments"):
+        store_one(name, ods.append_of_orders(sources[name], s.RAW[name], taken["orders"], dt))
+    store_one("reviews", ods.append_window(sources["reviews"], s.REVIEWS, facts.CREATION, window))
+    return taken
+
+
+def history_before(store: Store, dt: str) -> DataFrame:
+    """First day of every customer that the loads before ``dt`` have seen."""
+    seen = store.read(s.FIRST_PURCHASE).where(F.col("dt") < dt)
+    return seen.groupBy("customer_id").agg(F.min("first_day").alias("first_day"))
+
+
+def touched_days(store: Store, dt: str) -> DataFrame:
+    """Latest state of all orders bought on the days that the load of ``dt`` has orders of."""
+    days = store.read(s.FACT_ORDER, dt).select("date_id").distinct()
+    first = days.agg(F.min("date_id")).first()[0]
+    # Nothing about a day was loaded before it, so older partitions are pruned.
+    # A full load's partition bears a later date than its days, so it stays.
+    rows = store.read(s.FACT_ORDER).where((F.col("dt") >= F.lit(first or dt)) & (F.col("dt") <= dt))
+    return facts.latest(rows.join(days, "date_id", "left_semi"))
+
+
+def daily_load(
+    store: Store,
+    sources: Mapping[str, DataFrame],
+    window: LoadWindow,
+    append: bool = False,
+    copies: Collection[str] = DAILY_COPIES,
+) -> None:
     """One day of events into partition ``window.dt``.
 
     By default the day is replaced, so a repeated run changes nothing;
-    ``append=True`` adds the rows to the day instead.
+    ``append=True`` adds the rows of this run to the increments and facts
+    instead, so two runs leave two copies of each row. ``copies`` names the
+    sources whose full snapshot is stored; steps read the snapshot where there
+    is one, else the source. Items and payments carry no time of their own:
+    those of an order are taken with it, and rows that come later are not
+    loaded but counted, as "not loaded with its order", in the quality report.
     """
     dt = window.dt
     write = store.append if append else store.overwrite
-    snapshots(store, sources, dt)
-    dimensions(store, dt)
-    increments(store, sources, window, write)
-    orders = store.read(INCREMENTS["orders"], dt)
-    write(s.FACT_ORDER, facts.order(orders, store.read(INCREMENTS["items"], dt), window), dt)
-    write(s.FACT_PAYMENT, facts.payment(store.read(INCREMENTS["payments"], dt), orders, window), dt)
-    # A review is created days after its purchase, so its order is found in the snapshot.
-    known = store.read(s.ORDERS, dt)
-    write(s.FACT_REVIEW, facts.review(store.read(INCREMENTS["reviews"], dt), known, window), dt)
-    select = Select.partition(dt)
-    store.overwrite(
-        s.SUM_STATUS_BY_DATE, summaries.order_status_by_date(store.read(INCREMENTS["orders"]), select), dt
-    )
-    summarise(store, select, dt)
+    snapshots(store, {name: rows for name, rows in sources.items() if name in copies}, dt)
+    raw = {name: store.read(s.RAW[name], dt) if name in copies else rows for name, rows in sources.items()}
+    dimensions(store, raw["products"], raw["translation"], raw["customers"], raw["sellers"], dt)
+    store.replace(s.DIM_DATE, dims.date(raw["orders"]))
+    taken = increments(store, raw, window, append)
+    changed = ods.changed(raw["orders"], s.ORDERS, facts.PURCHASE, facts.MILESTONES, window)
+    bought = facts.order(taken["orders"], taken["items"], window)
+    their_items = ods.append_of_orders(raw["items"], s.ITEMS, changed, dt)
+    write(s.FACT_ORDER, bought.unionByName(facts.order(changed, their_items, None)), dt)
+    write(s.FACT_PAYMENT, facts.payment(taken["payments"], taken["orders"], window), dt)
+    # A review is created days after its purchase, so its order is found among all orders.
+    write(s.FACT_REVIEW, facts.review(taken["reviews"], raw["orders"], window), dt)
+
+    fact = store.read(s.FACT_ORDER, dt)
+    new = fact.where(window.holds(facts.PURCHASE))
+    history = history_before(store, dt) if store.has(s.FIRST_PURCHASE) else None
+    store.overwrite(s.FIRST_PURCHASE, summaries.first_purchases(new), dt)
+    one_day = Select.partition(dt)
+    store.overwrite(s.SUM_STATUS_BY_DATE, summaries.order_status_by_date(store.read(INCREMENTS["orders"]), one_day), dt)
+    by_date = summaries.order_by_date(touched_days(store, dt), Select.all(), history)
+    store.overwrite(s.SUM_ORDER_BY_DATE, by_date, dt)
+    # A payment has the purchase time of its order, and so its partition.
+    store.overwrite(s.SUM_PAYMENT_BY_DATE, summaries.payment_by_date(store.read(s.FACT_PAYMENT), new, one_day), dt)
+    known = store.read(s.FACT_ORDER).where(F.col("dt") <= dt)
+    store.overwrite(s.SUM_REVIEW_BY_DATE, summaries.review_by_date(store.read(s.FACT_REVIEW), known, one_day), dt)
+    _by_key(store, new, one_day, dt, history)
+    _quality_and_boards(store, raw, dt)
+    late = quality.late_rows(raw["payments"], s.PAYMENTS, store.read(INCREMENTS["orders"]), store.read(INCREMENTS["payments"]), "payments")
+    late = late.unionByName(quality.late_rows(raw["items"], s.ITEMS, store.read(INCREMENTS["orders"]), store.read(INCREMENTS["items"]), "items"))
+    store.append(s.QUALITY_RULES, late, dt)
+
+
+def latest_by_day(summary: DataFrame) -> DataFrame:
+    """Of every day the row of the newest load that touched it."""
+    newest = summary.groupBy("date_id").agg(F.max("dt").alias("dt"))
+    return summary.join(newest, ["date_id", "dt"], "left_semi").drop("dt")
 
 
 def board(store: Store, dt: str) -> DataFrame:
@@ -113,9 +188,5 @@ def board(store: Store, dt: str) -> DataFrame:
 
 
 def quality_report(store: Store, dt: str) -> DataFrame:
-    orders = store.read(s.ORDERS, dt)
-    return (
-        quality.orders_report(orders, store.read(s.ITEMS, dt))
-        .unionByName(quality.payments_report(store.read(s.PAYMENTS, dt), orders))
-        .unionByName(quality.reviews_report(store.read(s.REVIEWS, dt), orders))
-    )
+    """What the load of ``dt`` found, as stored."""
+    return store.read(s.QUALITY_RULES, dt).drop("dt")

@@ -134,7 +134,7 @@ CALENDAR = f"""
         cast(quarter(d) as integer) as quarter, cast(month(d) as integer) as month,
         cast(day(d) as integer) as day, cast(dayofweek(d) in (0, 6) as integer) as is_weekend
     from (
-        select unnest(generate_series(lo, least(hi + {365 * 50}, lo + {365 * 60 - 1}), interval 1 day)) as d
+        select unnest(generate_series(lo, hi + {365 * 50}, interval 1 day)) as d
         from (
             select min(cast(order_purchase_timestamp as date)) as lo, max(cast(order_purchase_timestamp as date)) as hi
             from raw_orders
@@ -283,14 +283,15 @@ for _suffix, _window in (("", FULL), ("_increment", MONTH)):
     )
 
 _REDELIVERED = _inside("order_purchase_timestamp", MONTH)
+_LATEST = {
+    **_raw("items"),
+    "every_order": raw_sql("orders"),
+    "raw_orders": "select * replace (case when "
+    + _REDELIVERED
+    + " then order_delivered_customer_date end as order_delivered_customer_date) from every_order",
+}
 ORACLES["fact_order_latest"] = _with(
-    {
-        **_raw("items"),
-        "every_order": raw_sql("orders"),
-        "raw_orders": "select * replace (case when "
-        + _REDELIVERED
-        + " then order_delivered_customer_date end as order_delivered_customer_date) from every_order",
-    },
+    _LATEST,
     _typed(
         s.FACT_ORDER,
         f"({_fact_order(FULL)})",
@@ -305,13 +306,13 @@ def _summary(parts: dict[str, str], table: Table, sql: str) -> str:
     return _with(parts, _typed(table, f"({sql})"))
 
 
-def _by_category(blank_unnamed: bool) -> str:
+def _by_category(blank_unnamed: bool, only: str = "true") -> str:
     named = (
         "(select f.*, product_category_en as cate_name from fact_order f join dim_product p"
         " on p.product_id = f.product_id)"
     )
     parts = {**_raw("products", "translation"), **_FACT, "dim_product": DIM_PRODUCT}
-    sql = _order_summary(["cate_name"], "cate_", "cate", named, blank_unnamed)
+    sql = _order_summary(["cate_name"], "cate_", "cate", named, blank_unnamed, only)
     return _summary(parts, s.SUM_ORDER_BY_CATEGORY, sql)
 
 
@@ -327,6 +328,7 @@ ORACLES["sum_order_by_date_daily_with_history"] = _summary(
     s.SUM_ORDER_BY_DATE,
     _order_summary(["date_id"], "", "daily", "fact_order", only=f"date_id = '{DAY}'"),
 )
+ORACLES["sum_order_by_date_latest"] = _summary({**_LATEST, "fact_order": _fact_order(FULL)}, s.SUM_ORDER_BY_DATE, _ORDER_BY_DATE)
 ORACLES["sum_order_by_date_by_person"] = _summary(
     {**_raw("customers"), **_FACT},
     s.SUM_ORDER_BY_DATE,
@@ -340,6 +342,7 @@ ORACLES["sum_order_by_date_by_person"] = _summary(
 )
 ORACLES["sum_order_by_category"] = _by_category(blank_unnamed=False)
 ORACLES["sum_order_by_category_as_written"] = _by_category(blank_unnamed=True)
+ORACLES["sum_order_by_category_daily_with_history"] = _by_category(False, only=f"date_id = '{DAY}'")
 
 for _suffix, _kept in (("", KEPT_ORDERS), ("_as_written", EACH_ITEM)):
     ORACLES[f"sum_payment_by_date{_suffix}"] = _summary(
@@ -353,7 +356,7 @@ for _suffix, _kept in (("", KEPT_ORDERS), ("_as_written", EACH_ITEM)):
 def _by_region(side: str, table: Table) -> str:
     keys = [f"{side}_state", f"{side}_city"]
     located = (
-        f"(select f.*, {', '.join(keys)} from fact_order f join raw_{side}s d on d.{side}_id = f.{side}_id)"
+        f"(select f.*, {', '.join(keys)} from fact_order f left join raw_{side}s d on d.{side}_id = f.{side}_id)"
     )
     return _summary({**_raw(f"{side}s"), **_FACT}, table, _order_summary(keys, "region_", "region", located))
 
@@ -379,6 +382,9 @@ ORACLES["board_daily"] = _with(
     where o.date_id is not null or st.date_id is not null or p.date_id is not null or r.date_id is not null""",
 )
 
+for _table in s.BOARDS:
+    ORACLES[_table.name.removesuffix("_1d")] = f"select {', '.join(_table.names)} from ({ORACLES['board_daily']})"
+
 # --- stored tables ----------------------------------------------------------
 
 
@@ -541,11 +547,15 @@ ORACLES["quality_payment_rules"] = _with(
 ORACLES["quality_review_rules"] = _with(
     _raw("orders", "reviews"), f"{_broken('reviews')} union all {_unknown('reviews')}"
 )
-_CHECKED = ("orders", "items", "payments", "reviews")
+_CHECKED = [name for name, table in s.RAW.items() if table.key]
+def _shown(key: str) -> str:
+    return f"coalesce(cast({key} as varchar), '\\N')"
+
+
 ORACLES["quality_duplicate_keys"] = _with(
     _raw(*_CHECKED),
     " union all ".join(
-        f"select '{name}' as table_name, concat_ws('|', {', '.join(s.RAW[name].key)}) as key_value,"
+        f"select '{name}' as table_name, concat_ws('|', {', '.join(_shown(key) for key in s.RAW[name].key)}) as key_value,"
         f" count(*) as n_rows from raw_{name} group by {', '.join(s.RAW[name].key)} having count(*) > 1"
         for name in _CHECKED
     ),

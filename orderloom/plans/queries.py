@@ -163,15 +163,18 @@ def fact_review_increment(spark, sf_dir):
     return facts.review(ods_reviews_increment(spark, sf_dir), raw(spark, sf_dir, "orders"), MONTH)
 
 
-@query
-def fact_order_latest(spark, sf_dir):
+def _latest(spark, sf_dir):
     """All orders are loaded before their delivery, one month of them again after it."""
     orders, items = raw(spark, sf_dir, "orders"), raw(spark, sf_dir, "items")
     on_the_way = orders.withColumn("order_delivered_customer_date", F.lit(None).cast("timestamp_ntz"))
-    store = scratch_store(spark)
-    store.overwrite(s.FACT_ORDER, facts.order(on_the_way, items, FULL), EARLIER_DT)
-    store.overwrite(s.FACT_ORDER, facts.order(orders, items, MONTH), LATER_DT)
-    return facts.latest(store.read(s.FACT_ORDER))
+    before = facts.order(on_the_way, items, FULL).withColumn("dt", F.lit(EARLIER_DT))
+    after = facts.order(orders, items, MONTH).withColumn("dt", F.lit(LATER_DT))
+    return facts.latest(before.unionByName(after))
+
+
+@query
+def fact_order_latest(spark, sf_dir):
+    return _latest(spark, sf_dir)
 
 
 # --- summaries --------------------------------------------------------------
@@ -195,10 +198,24 @@ def sum_order_by_date_daily_with_history(spark, sf_dir):
     return summaries.order_by_date(fact, Select.partition(DAY), summaries.first_purchases(fact))
 
 
+@query
+def sum_order_by_date_latest(spark, sf_dir):
+    """Orders were loaded before their delivery, one month of them again after it."""
+    return summaries.order_by_date(_latest(spark, sf_dir), ALL)
+
+
+@query
+def sum_order_by_category_daily_with_history(spark, sf_dir):
+    """One day by category, with customers known from all of history."""
+    fact = _lines(spark, sf_dir).withColumn("dt", F.col("date_id"))
+    known = summaries.first_purchases(fact)
+    return summaries.order_by_category(fact, _products(spark, sf_dir), Select.partition(DAY), first_purchase=known)
+
+
 @query
 def sum_order_by_date_by_person(spark, sf_dir):
     people = dims.customer(raw(spark, sf_dir, "customers"))
-    return summaries.order_by_date(summaries.by_person(_lines(spark, sf_dir), people), ALL)
+    return summaries.order_by_date(_lines(spark, sf_dir), ALL, people=people)
 
 
 @query
@@ -248,8 +265,7 @@ def sum_order_status_by_date(spark, sf_dir):
     return summaries.order_status_by_date(raw(spark, sf_dir, "orders"), ALL)
 
 
-@query
-def board_daily(spark, sf_dir):
+def _board(spark, sf_dir):
     lines = _lines(spark, sf_dir)
     return boards.daily(
         dims.date(raw(spark, sf_dir, "orders")),
@@ -260,6 +276,19 @@ def board_daily(spark, sf_dir):
     )
 
 
+@query
+def board_daily(spark, sf_dir):
+    return _board(spark, sf_dir)
+
+
+def _role(table: s.Table) -> Query:
+    return lambda spark, sf_dir: present(boards.cut(_board(spark, sf_dir), table))
+
+
+for _table in s.BOARDS:
+    QUERIES[_table.name.removesuffix("_1d")] = _role(_table)
+
+
 # --- stored tables ----------------------------------------------------------
 
 
@@ -442,11 +471,4 @@ def quality_review_rules(spark, sf_dir):
 
 @query
 def quality_duplicate_keys(spark, sf_dir):
-    repeats = [
-        quality.duplicate_keys(raw(spark, sf_dir, name), s.RAW[name], name)
-        for name in ("orders", "items", "payments", "reviews")
-    ]
-    found = repeats[0]
-    for more in repeats[1:]:
-        found = found.unionByName(more)
-    return found
+    return quality.all_duplicate_keys({name: raw(spark, sf_dir, name) for name in s.RAW})

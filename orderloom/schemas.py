@@ -266,7 +266,8 @@ SUM_ORDER_BY_CATEGORY = Table(
 
 SUM_ORDER_BY_CUSTOMER_REGION = Table(
     "sum_order_by_customer_region_1d", "orders by home of the customer", ("customer_state", "customer_city"),
-    (("customer_state", _STRING, "state"), ("customer_city", _STRING, "city"), *order_metrics("region_", "region")),
+    (("customer_state", _STRING, "state"), ("customer_city", _STRING, "city"),
+     *(column for column in order_metrics("region_", "region") if column[0] != "region_new_customer_rate")),
 )
 
 SUM_ORDER_BY_SELLER_REGION = Table(
@@ -303,3 +304,52 @@ SUM_STATUS_BY_DATE = Table("sum_order_status_by_date_1d", "order states by day",
     ("canceled_rate", _RATE, "canceled orders"),
     ("unavailable_rate", _RATE, "orders out of stock"),
 ))
+
+FIRST_PURCHASE = Table("first_purchase_1d", "first day of the customers a load has orders of", ("customer_id",), (
+    ("customer_id", _STRING, "customer as known to the order"),
+    ("first_day", T.DateType(), "first day of purchase in the load"),
+))
+
+# --- boards and quality -----------------------------------------------------
+
+_BY_DATE = {
+    column[0]: column
+    for table in (SUM_ORDER_BY_DATE, SUM_STATUS_BY_DATE, SUM_PAYMENT_BY_DATE, SUM_REVIEW_BY_DATE)
+    for column in table.columns
+}
+
+
+def _board(role: str, comment: str, *names: str) -> Table:
+    return Table(f"board_{role}_1d", comment, ("date_id",), tuple(_BY_DATE[name] for name in ("date_id", *names)))
+
+
+BOARD_OPERATIONS = _board(
+    "operations", "sales and customers by day", "daily_gmv", "daily_order_count", "daily_customer_count",
+    "avg_order_amount", "avg_customer_amount", "avg_item_count", "new_customer_rate", "placed_order_count",
+    "canceled_rate", "unavailable_rate",
+)
+BOARD_LOGISTICS = _board(
+    "logistics", "delivery by day", "daily_order_count", "avg_deliver_duration", "avg_total_duration", "overtime_rate",
+)
+BOARD_PAYMENT = _board(
+    "payment", "payments by day", "daily_payment_value", "daily_payment_count", "installment_rate",
+    "installment_gmv_rate", "avg_installments", "avg_payment_attempts",
+)
+BOARD_SERVICE = _board(
+    "service", "reviews by day", "daily_review_count", "avg_review_score", "good_review_rate", "reply_rate",
+    "avg_hours_to_reply", "has_comment_rate",
+)
+BOARDS = (BOARD_OPERATIONS, BOARD_LOGISTICS, BOARD_PAYMENT, BOARD_SERVICE)
+
+QUALITY_RULES = Table("quality_rules_1d", "rows that fail a cleaning rule", ("table_name", "rule"), (
+    ("table_name", _STRING, "raw table"),
+    ("rule", _STRING, "rule"),
+    ("checked_rows", _LONG, "rows checked"),
+    ("failed_rows", _LONG, "rows that fail"),
+))
+
+QUALITY_DUPLICATES = Table("quality_duplicate_keys_1d", "repeated keys", ("table_name", "key_value"), (
+    ("table_name", _STRING, "raw table"),
+    ("key_value", _STRING, "key columns joined by |, null as \\N"),
+    ("n_rows", _LONG, "rows with the key"),
+))

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
+import contextlib
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schemas import Table
@@ -27,28 +26,22 @@ class Store:
     def _write(self, rows: DataFrame, path: str, mode: str) -> None:
         rows.write.format("orc").option("compression", "snappy").mode(mode).save(path)
 
-    def overwrite(self, table: Table, rows: DataFrame, dt: str) -> None:
-        """Replace one day. Other days stay, and a day that became empty is emptied.
-
-        A load that fails leaves the day without rows until it is run again.
-        """
-        self._write(table.conform(rows), f"{self.path(table)}/dt={dt}", "overwrite")
-
-    def append(self, table: Table, rows: DataFrame, dt: str) -> None:
-        """Add to one day; running it twice adds the rows twice."""
-        self._write(table.conform(rows), f"{self.path(table)}/dt={dt}", "append")
+    def has(self, table: Table) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
-    def overwrite_days(self, table: Table, rows: DataFrame, day: str) -> None:
-        """Replace every day found in column ``day`` of ``rows``, many at once.
+    def overwrite(self, table: Table, rows: DataFrame, dt: str) -> None:
+        """Replace one day; other days stay.
 
-        Rows are gathered by day so that a day is not scattered over as many
-        files as there are tasks; rebalancing splits a day that is too large
-        for one task, which a plain repartition would not.
+        The new rows are staged and take the place of the old ones when the job
+        commits, so a load that fails leaves the day as it was. A day that became
+        empty is emptied once the job that found no rows has succeeded.
         """
+        written = Observation()
         (
-            rows.withColumn("dt", F.col(day))
-            .to(table.stored)
-            .hint("rebalance", "dt")
+            table.conform(rows)
+            .observe(written, F.count(F.lit(1)).alias("n"))
+            .withColumn("dt", F.lit(dt))
             .write.format("orc")
             .option("compression", "snappy")
             .option("partitionOverwriteMode", "dynamic")
@@ -56,6 +49,13 @@ class Store:
             .partitionBy("dt")
             .save(self.path(table))
         )
+        if not written.get["n"]:
+            nothing = self.spark.createDataFrame([], table.schema)
+            self._write(nothing, f"{self.path(table)}/dt={dt}", "overwrite")
+
+    def append(self, table: Table, rows: DataFrame, dt: str) -> None:
+        """Add to one day; running it twice adds the rows twice."""
+        self._write(table.conform(rows), f"{self.path(table)}/dt={dt}", "append")
 
     def replace(self, table: Table, rows: DataFrame) -> None:
         """Replace a table that has no days."""
@@ -66,6 +66,12 @@ class Store:
         rows = self.spark.read.schema(table.stored).orc(self.path(table))
         return rows if dt is None else rows.where(F.col("dt") == dt)
 
+    def remove(self) -> None:
+        """Delete the whole store."""
+        with contextlib.suppress(Exception):  # at exit the session may be gone
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
     def register(self, *tables: Table) -> None:
         """Make tables known to SQL under their names."""
         for table in tables:
@@ -73,15 +79,11 @@ class Store:
 
 
 def scratch_store(spark: SparkSession) -> Store:
-    """A new, empty store in the shared folder the cluster names.
+    """A new, empty store in the shared folder the cluster names, or in the warehouse where it names none.
 
-    Only a local session may go without ``spark.checkpoint.dir``; it gets a
-    temporary folder, removed when the process ends.
+    It is removed when the process ends; results may read from it until then.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="orderloom-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return Store(spark, f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    store = Store(spark, f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}")
+    atexit.register(store.remove)
+    return store

@@ -21,13 +21,17 @@ from orderloom.schemas import Table
 from orderloom.sources.tables import Store
 
 
+#: Day of the rows that have no event time.
+UNDATED = "unknown"
+
+
 def _feed(table: Table) -> Table:
     return table.named(f"{table.name}_feed")
 
 
 def land(stream: DataFrame, table: Table, time: str, store: Store, checkpoint: str) -> StreamingQuery:
-    """Take in what the source holds now and stop; rows without event time have no day and are left out."""
-    rows = table.conform(stream.where(F.col(time).isNotNull())).withColumn("dt", day_id(time))
+    """Take in what the source holds now and stop; rows without event time land in the day ``unknown``."""
+    rows = table.conform(stream).withColumn("dt", F.coalesce(day_id(time), F.lit(UNDATED)))
     return (
         rows.writeStream.format("orc")
         .option("compression", "snappy")

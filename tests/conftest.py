@@ -1,11 +1,18 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from orderloom.session import with_settings  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        with_settings(SparkSession.builder.master("local[8]"))
         .appName("orderloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")

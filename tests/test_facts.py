@@ -143,9 +143,8 @@ def test_reply_hours_do_not_follow_the_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 2, 3, 10**6])
-def test_hot_orders_give_the_same_fact(spark, hot_rows):
-    """Orders above, at and below the limit; one holds a third of all items."""
+def test_hot_orders_give_the_same_fact(spark):
+    """One order holds a third of all items."""
     counts = {"big": 40, "three": 3, "two": 2, **{f"o{n}": 1 for n in range(70)}, "void": 8}
     orders = shop.orders(
         spark,
@@ -156,7 +155,7 @@ def test_hot_orders_give_the_same_fact(spark, hot_rows):
         item(o, n, price=None if (o, n) == ("big", 7) else f"{n + 1}.25", freight="0.50")
         for o, count in counts.items() for n in range(count)
     ]
-    found = facts.order(orders, shop.items(spark, *rows), JANUARY, hot_rows=hot_rows)
+    found = facts.order(orders, shop.items(spark, *rows), JANUARY)
     valid = {o: [n for n in range(c) if (o, n) != ("big", 7)] for o, c in counts.items() if o != "void"}
     expected = sorted(
         (o, n, len(ns), sum(Decimal(f"{m + 1}.75") for m in ns)) for o, ns in valid.items() for n in ns
@@ -165,13 +164,12 @@ def test_hot_orders_give_the_same_fact(spark, hot_rows):
     assert got == expected
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 10**6])
-def test_hot_orders_give_the_same_payments_and_reviews(spark, hot_rows):
+def test_hot_orders_give_the_same_payments_and_reviews(spark):
     orders = shop.orders(spark, order("big"), order("small"))
     payments = shop.payments(
         spark, *[("big", n, "voucher", 1, "1.00") for n in range(1, 30)], ("small", 2, "voucher", 1, "1.00")
     )
-    paid = facts.payment(payments, orders, JANUARY, hot_rows=hot_rows).collect()
+    paid = facts.payment(payments, orders, JANUARY).collect()
     assert sorted((r["order_id"], r["payment_sequential"], r["payment_attempts"]) for r in paid) == sorted(
         [("big", n, 29) for n in range(1, 30)] + [("small", 2, 2)]
     )
@@ -179,18 +177,17 @@ def test_hot_orders_give_the_same_payments_and_reviews(spark, hot_rows):
         spark, *[(f"r{n}", "big", 5, "x", "2020-01-05", None) for n in range(30)],
         ("s", "small", 1, "x", "2020-01-05", None),
     )
-    reviewed = facts.review(reviews, orders, JANUARY, hot_rows=hot_rows).collect()
+    reviewed = facts.review(reviews, orders, JANUARY).collect()
     assert sorted((r["order_id"], r["review_id"]) for r in reviewed) == sorted(
         [("big", f"r{n}") for n in range(30)] + [("small", "s")]
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_latest_load_of_an_order_wins_whole(spark, hot_rows):
+def test_latest_load_of_an_order_wins_whole(spark):
     """The newer load also drops an item that left the order."""
     rows = [("a", 1, "old", "2020-01-01"), ("a", 2, "old", "2020-01-01"), ("a", 1, "new", "2020-01-03"),
             ("b", 1, "only", "2020-01-01"), ("c", 1, "one", "2020-01-02"), ("c", 2, "two", "2020-01-02")]
     fact = spark.createDataFrame(rows, "order_id string, order_item_id int, order_status string, dt string")
-    found = facts.latest(fact, hot_rows=hot_rows)
+    found = facts.latest(fact)
     assert found.columns == fact.columns
     assert sorted(map(tuple, found.collect())) == sorted(rows[2:])

@@ -8,7 +8,7 @@ import shop
 from shop import JANUARY, item, order
 
 from orderloom import schemas as s
-from orderloom.operators import facts, order_groups, summaries
+from orderloom.operators import facts, summaries
 from orderloom.params import Select
 from orderloom.sources.tables import Store
 
@@ -50,40 +50,43 @@ def raw_tables(spark, tmp_path_factory):
     return store.read(s.ORDERS, "d"), store.read(s.ITEMS, "d")
 
 
-def test_join_and_window_share_one_shuffle_and_no_hot_branch_runs(spark, raw_tables):
-    with settings(spark, **NO_BROADCAST):
-        plan = final_plan(facts.order(*raw_tables, JANUARY))
-    assert "Window" in plan and "SortMergeJoin" in plan
-    assert "Union" not in plan and "LeftAnti" not in plan
-    # One exchange per join side, none for the window.
-    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) == 2
-
-
-def test_hot_orders_move_no_rows(spark, raw_tables):
-    with settings(spark, **NO_BROADCAST):
-        plan = final_plan(facts.order(*raw_tables, JANUARY, hot_rows=50))
-    cold, hot = plan.split("Window", 1)[0], plan
-    assert "Union" in cold
-    # Item rows are shuffled in the ordinary branch only; the other one joins in place.
-    shuffled = [line for line in hot.splitlines() if "Exchange hashpartitioning(order_id" in line]
-    assert len(shuffled) >= 2 and plan.count("SortMergeJoin") == 1 and "LeftAnti" in plan
+@pytest.fixture(scope="module")
+def one_hot_order(spark, tmp_path_factory):
+    """90,000 items over several files, a third of them of one order."""
+    store = Store(spark, str(tmp_path_factory.mktemp("hot")))
+    spark.range(0, 3000, 1, 4).selectExpr(
+        "case when id = 0 then 'hot' else concat('o', id) end as order_id", "concat('c', id % 97) as customer_id",
+        "'delivered' as order_status", "timestamp_ntz '2020-01-10' as order_purchase_timestamp",
+        "timestamp_ntz '2020-01-10' as order_approved_at", "timestamp_ntz '2020-01-11' as order_delivered_carrier_date",
+        "timestamp_ntz '2020-01-12' as order_delivered_customer_date", "timestamp_ntz '2020-01-12' as order_estimated_delivery_date",
+    ).write.parquet(f"{store.root}/orders")
+    spark.range(0, 90000, 1, 8).selectExpr(
+        "case when id % 3 = 0 then 'hot' else concat('o', 1 + id % 2999) end as order_id", "cast(id as int) as order_item_id",
+        "concat('p', id % 100) as product_id", "concat('s', id % 10) as seller_id",
+        "timestamp_ntz '2020-01-11' as shipping_limit_date", "cast(1 as decimal(10,2)) as price", "cast(0 as decimal(10,2)) as freight_value",
+    ).write.parquet(f"{store.root}/items")
+    return spark.read.parquet(f"{store.root}/orders"), spark.read.parquet(f"{store.root}/items")
+
+
+def test_a_hot_order_far_below_a_million_rows_is_split(spark, one_hot_order):
+    expected = facts.order(*one_hot_order, JANUARY).selectExpr("count(*)", "max(item_count)", "sum(total_amount)").collect()
+    with settings(spark, **EAGER_SPLIT):
+        frame = facts.order(*one_hot_order, JANUARY)
+        plan = final_plan(frame)
+        assert "skew=true" in plan and "Window" not in plan and "Union" not in plan
+        assert frame.selectExpr("count(*)", "max(item_count)", "sum(total_amount)").collect() == expected
+        assert tuple(expected[0])[:2] == (90000, 30000)
 
 
-def test_hot_orders_are_found_exactly(spark):
-    counts = {"a": 500, "b": 101, "c": 100, **{f"o{n}": 1 for n in range(3000)}}
-    ids = spark.createDataFrame([(o,) for o, n in counts.items() for _ in range(n)] + [(None,)] * 900, "order_id string")
-    found = {row["order_id"] for row in order_groups.hot_orders(ids, hot_rows=100).collect()}
-    assert found == {"a", "b"}
-    assert order_groups.hot_orders(ids).collect() == []
+def test_a_hot_order_is_split_below_a_summary_too(spark, one_hot_order):
+    with settings(spark, **EAGER_SPLIT):
+        plan = final_plan(summaries.order_by_date(facts.order_lines(*one_hot_order, JANUARY), ALL))
+    assert "skew=true" in plan
 
 
-def test_hot_limit_grows_with_the_rows(spark):
-    """At most one in HOT_SHARE rows stays ordinary, so fewer than HOT_SHARE orders can be hot."""
-    rows = order_groups.HOT_SHARE * 10
-    ids = spark.range(rows).selectExpr(
-        "case when id < 10 then 'ten' when id < 21 then 'eleven' else cast(id as string) end as order_id"
-    )
-    assert [row["order_id"] for row in order_groups.hot_orders(ids, hot_rows=0).collect()] == ["eleven"]
+def test_the_fact_reads_its_items_twice_and_no_more(spark, raw_tables):
+    plan = facts.order(*raw_tables, JANUARY)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan .*ods_items_df", plan)) <= 2
 
 
 @pytest.fixture(scope="module")
@@ -122,8 +125,9 @@ def test_customers_are_located_as_one_row_each(spark, skewed_fact):
     customers = spark.range(997).selectExpr("concat('c', id) as customer_id", "'s' as customer_state", "'t' as customer_city")
     frame = summaries.order_by_customer_region(skewed_fact, customers, ALL)
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    joined = plan.index("Join Inner")
-    assert plan.index("Window") > joined and "groupBy" not in plan[:joined]
+    joined = plan.index("Join LeftOuter")
+    # Located after they are combined, and no window: nobody asks which of them are new.
+    assert "Window" not in plan and "Aggregate" in plan[joined:]
     assert frame.collect()[0]["region_order_count"] == 30000
 
 

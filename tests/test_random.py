@@ -100,11 +100,10 @@ def order_metrics(rows):
 def both(request, spark):
     made = Shop(request.param)
     orders, items = shop.orders(spark, *made.orders), shop.items(spark, *made.items)
-    # A limit of 20 rows makes the large order hot and leaves the others ordinary.
     frames = {
-        "fact": facts.order(orders, items, JANUARY, hot_rows=20).cache(),
-        "payments": facts.payment(shop.payments(spark, *made.payments), orders, JANUARY, hot_rows=20),
-        "reviews": facts.review(shop.reviews(spark, *made.reviews), orders, JANUARY, hot_rows=20),
+        "fact": facts.order(orders, items, JANUARY).cache(),
+        "payments": facts.payment(shop.payments(spark, *made.payments), orders, JANUARY),
+        "reviews": facts.review(shop.reviews(spark, *made.reviews), orders, JANUARY),
         "products": dims.product(shop.products(spark, *made.categories.items()), shop.translation(spark, ("a", "A"))),
     }
     return made, frames

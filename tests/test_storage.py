@@ -2,6 +2,7 @@
 
 import pytest
 import shop
+from pyspark.sql import functions as F
 from shop import JANUARY, item, order
 
 from orderloom import schemas as s
@@ -46,12 +47,34 @@ def test_append_adds(spark, store):
     assert _days(store.read(s.ORDERS)) == {"2020-01-01": 2}
 
 
-def test_overwrite_days_replaces_the_days_it_brings(spark, store):
-    first = shop.orders(spark, order("a", bought="2020-01-01"), order("b", bought="2020-01-02"))
-    again = shop.orders(spark, *[order(str(n), bought="2020-01-02") for n in range(3)])
-    for rows in (first, again):
-        store.overwrite_days(s.ORDERS, rows.selectExpr("*", "cast(to_date(order_purchase_timestamp) as string) d"), "d")
-    assert _days(store.read(s.ORDERS)) == {"2020-01-01": 1, "2020-01-02": 3}
+def test_a_failing_write_leaves_the_old_day(spark, store):
+    store.overwrite(s.ORDERS, shop.orders(spark, order("a"), order("b")), "2020-01-01")
+    broken = shop.orders(spark, order("c")).withColumn("customer_id", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        store.overwrite(s.ORDERS, broken, "2020-01-01")
+    assert _days(store.read(s.ORDERS)) == {"2020-01-01": 2}
+
+
+def test_a_table_that_only_ever_got_empty_days_can_be_read(spark, store):
+    assert not store.has(s.ORDERS)
+    store.overwrite(s.ORDERS, shop.orders(spark, order("a")).where("false"), "2020-01-01")
+    assert store.has(s.ORDERS) and store.read(s.ORDERS).count() == 0
+
+
+def test_large_files_with_line_breaks_are_refused(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.csv").write_text(",".join(s.TRANSLATION.names) + "\na,b\n")
+    assert raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True).count() == 1
+    monkeypatch.setattr(raw, "MOST_BYTES_IN_ONE_TASK", 10)
+    with pytest.raises(ValueError, match="one task"):
+        raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True)
+
+
+def test_database_rows_get_the_declared_types(monkeypatch, spark):
+    """The reader alone: no database here."""
+    given = spark.sql("select 'o' as order_id, 2L as payment_sequential, 'x' as payment_type, '3' as payment_installments, 1.5D as payment_value")
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, predicates, properties: given)
+    rows = raw.jdbc_window(spark, "url", "payments", s.PAYMENTS, "t", JANUARY, 2, {})
+    assert rows.dtypes == spark.createDataFrame([], s.PAYMENTS.schema).dtypes
 
 
 def test_written_types_come_back(spark, store):
@@ -172,7 +195,14 @@ def test_scratch_follows_the_shared_folder():
     assert first.root.startswith("hdfs://shared/tmp/orderloom-") and first.root != second.root
 
 
-def test_scratch_without_shared_folder_is_for_local_sessions_only(spark):
-    assert scratch_store(spark).root != scratch_store(spark).root
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_store(_Session("spark://cluster:7077"))
+def test_scratch_without_shared_folder_lies_in_the_warehouse():
+    session = _Session("spark://cluster:7077")
+    session.conf["spark.sql.warehouse.dir"] = "hdfs://warehouse"
+    assert scratch_store(session).root.startswith("hdfs://warehouse/orderloom-")
+
+
+def test_scratch_can_be_removed(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "scratch"))
+    store.append(s.ORDERS, shop.orders(spark, order("a")), "d")
+    store.remove()
+    assert not (tmp_path / "scratch").exists()

@@ -21,10 +21,10 @@ def test_orders_land_by_day_and_only_once(spark, tmp_path):
 
     shop.orders(spark, order("a", bought="2020-01-01 23:59:59"), order("b", bought="2020-01-02"),
                 order("never", bought=None)).write.parquet(inbox)
-    assert run() == {"2020-01-01": 1, "2020-01-02": 1}
-    assert run() == {"2020-01-01": 1, "2020-01-02": 1}
+    assert run() == {"2020-01-01": 1, "2020-01-02": 1, "unknown": 1}
+    assert run() == {"2020-01-01": 1, "2020-01-02": 1, "unknown": 1}
     shop.orders(spark, order("late", bought="2020-01-01 10:00:00")).write.mode("append").parquet(inbox)
-    assert run() == {"2020-01-01": 2, "2020-01-02": 1}
+    assert run() == {"2020-01-01": 2, "2020-01-02": 1, "unknown": 1}
     assert landed(store, s.ORDERS, "2020-01-02").collect()[0]["order_id"] == "b"
 
     day = LoadWindow("2020-01-01", "2020-01-02", "2020-01-02")

@@ -208,7 +208,7 @@ def test_history_makes_a_day_know_earlier_customers(shop_fact):
 
 def test_people_behind_several_customer_ids_count_once(spark, shop_fact):
     people = spark.createDataFrame([("a", "same"), ("b", "same")], "customer_id string, customer_unique_id string")
-    found = by(summaries.order_by_date(summaries.by_person(shop_fact, people), ALL), "date_id")
+    found = by(summaries.order_by_date(shop_fact, ALL, people=people), "date_id")
     assert found["2020-01-12"]["daily_customer_count"] == 1
     assert found["2020-01-12"]["new_customer_rate"] == D("0.0000")
 
