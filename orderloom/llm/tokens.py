@@ -9,8 +9,8 @@ text that holds one is encoded as a whole.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 
@@ -18,10 +18,14 @@ import numpy as np
 REMEMBERED = 1_500_000
 #: Words encoded by one call.
 AT_ONCE = 2_000
-#: Stands between the words of a call; a word that holds it is encoded alone.
+#: Stands between words that may have any number of parts; a word that holds it is encoded alone.
 MARK = b"\x01"
-#: Marks that stand apart from a letter or digit before them.
-ENDS = {b".", b",", b";", b":", b"!", b"?"}
+#: Words of one part, or of two: letters that no normaliser splits or joins, and one mark. Each part ends in one id that ends a word.
+SIMPLE = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?])?").fullmatch
+
+
+#: How the vocabulary writes the end of a word.
+WORD_END = "</w>"
 
 
 class Encoder:
@@ -32,39 +36,45 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.mark = self.ids(MARK.decode())
+        (self.mark,) = self.ids(MARK.decode())
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.memo: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         (one,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # the ids of encode(), without offsets
         return np.asarray(one.ids, dtype=self.dtype)
 
+    def _cut(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, skip: int) -> None:
+        """Remember of each word the ids up to its end, leaving out ``skip`` ids after it."""
+        if len(ends) != len(words):
+            raise ValueError("this vocabulary does not mark the ends of words as expected")
+        size, raw, start = self.dtype.itemsize, ids.tobytes(), 0
+        for w, end in zip(words, (ends * self.dtype.itemsize).tolist(), strict=True):
+            self.memo[w] = raw[start:end]
+            start = end + skip * size
+
     def _learn(self, words: set[bytes]) -> None:
-        """Words that differ in one mark at their end share the encoding of what they have in common."""
-        known, cores, marked = list(words), [], []
-        for w in known:
-            end = w[-1:]
-            two = end in ENDS and w[-2:-1].isalnum()
-            marked.append(end if two else b"")
-            cores.append(w[:-1] if two else w)
-        new = {*cores, *ENDS}.difference(self.memo)
-        plain = iter([w for w in new if MARK not in w])
-        for w in new:
-            if MARK in w:
+        simple, parts, other = [], [], []
+        for w in words:
+            if found := SIMPLE(w.decode()):
+                simple.append(w)
+                parts.append(found.lastindex)
+            elif MARK in w:
                 self.memo[w] = self.ids(w.decode()).tobytes()
-        while some := list(islice(plain, AT_ONCE)):
+            else:
+                other.append(w)
+        for a in range(0, len(simple), AT_ONCE):
+            some = simple[a : a + AT_ONCE]
+            ids = self.ids(b" ".join(some).decode())
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            n = np.cumsum(parts[a : a + AT_ONCE])
+            self._cut(some, ids, ends[n - 1] if len(ends) == n[-1] else ends[:0], 0)
+        for a in range(0, len(other), AT_ONCE):
+            some = other[a : a + AT_ONCE]
             ids = self.ids((b" %b " % MARK).join([*some, b""]).decode())
-            size = self.dtype.itemsize
-            ends, raw = (np.flatnonzero(ids == self.mark[0]) * size).tolist(), ids.tobytes()
-            if len(ends) != len(some) or len(self.mark) != 1:
-                raise ValueError("this vocabulary has no single token that can stand between words")
-            start = 0
-            for w, end in zip(some, ends, strict=True):
-                self.memo[w] = raw[start:end]
-                start = end + size
-        memo = self.memo
-        for w, core, end in zip(known, cores, marked, strict=True):
-            memo[w] = memo[core] + memo[end] if end else memo[core]
+            self._cut(some, ids, np.flatnonzero(ids == self.mark), 1)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Of each text the ids, packed in ``dtype``; a null text has none."""
