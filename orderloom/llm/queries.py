@@ -101,6 +101,17 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _SPACE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES = {
+    "op5_embedding_dedup": """
+        WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM component LEFT JOIN counted USING (vec_id)
+    """,
     "op6_quality_rules": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
                 list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_SPACE}) <> '') AS lines FROM documents),
