@@ -58,11 +58,11 @@ SYMBOLS = 257
 EDGE = 256
 #: Symbols of the longest context; of those that decide the bucket; and of the longest whose counts are broadcast.
 DEPTH, SHARED, SHORT = 5, 3, 2
-CHUNK = 24 << 20
+CHUNK = 4 << 20
 #: Bytes of text that make a bucket more.
 BUCKET = 32 << 20
-#: Bytes of text whose runs are listed at once, and contexts that are blended at once.
-PART, BLEND = 2 << 20, 1024
+#: Bytes of text whose runs are made at once, and contexts that are blended at once.
+PART, BLEND = 1 << 19, 1024
 #: The token at the end of a text; no word is empty.
 END = b""
 
@@ -78,7 +78,12 @@ def hashed(tokens) -> np.ndarray:
 
 
 def runs(texts: list[str | None], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Of each symbol to predict, ends included, the run that ends in it as one number; and the text it is of."""
+    """Of each symbol to predict, ends included, the run that ends in it as one number; and how many each text has."""
+    parts = [_runs(texts[a:b], depth) for a, b in slices([len(t or "") for t in texts], PART)]
+    return tuple(np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*parts, strict=True))
+
+
+def _runs(texts: list[str | None], depth: int) -> tuple[np.ndarray, np.ndarray]:
     raw = [(t or "").encode().lower() for t in texts]
     sizes = np.array([len(b) for b in raw], np.int64)
     begin = np.cumsum(sizes + depth + 1) - (sizes + depth + 1)
@@ -89,7 +94,7 @@ def runs(texts: list[str | None], depth: int = DEPTH) -> tuple[np.ndarray, np.nd
     for k in range(depth + 1):
         codes = codes * SYMBOLS + symbols[k : len(symbols) - depth + k]
     own = np.repeat(np.arange(len(raw)), sizes + 1)
-    return codes[np.arange(len(own)) + depth * own], own
+    return codes[np.arange(len(own)) + depth * own], sizes + 1
 
 
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,13 +204,11 @@ def _ask(buckets: int):
                 counts.update(words(text))
         others = set().union(*(words(t) for t, learn in zip(raw, train, strict=True) if not learn)).difference(counts)
         tokens, times = summed([hashed([*counts, *others]).view(np.int64)], [np.array([*counts.values(), *[0] * len(others)])])
-        codes, n, learns = [], [], np.array(train, float)
-        for a, b in slices([len(t or "") for t in raw], PART):
-            all_runs, own = runs(raw[a:b])
-            found, where = distinct(all_runs)
-            codes.append(found)
-            n.append(np.bincount(where, learns[a:b][own], len(found)))
-        codes, n = summed(codes, n)
+        every, sizes = runs(raw)
+        codes, where = distinct(every)
+        n = np.bincount(where, np.repeat(np.array(train, float), sizes), len(codes)).astype(np.int64)
+        order = np.argsort(codes)
+        codes, n = codes[order], n[order]
         sink = pa.BufferOutputStream()
         batch = pa.RecordBatch.from_arrays([ids, texts], names=["id", "text"])
         with pa.ipc.new_stream(sink, batch.schema) as out:
@@ -287,12 +290,11 @@ def _score(buckets: int, n_train: int, n_vocabulary: int):
             n_known.append(len(own) - sum(map(unknown.__contains__, own)))
             base.append(sum(map(log.__getitem__, own)))
 
-        parts = [(a, b, *runs(texts[a:b])) for a, b in slices([len(t or "") for t in texts], PART)]
-        parts = [(a, b, *distinct(codes), own) for a, b, codes, own in parts]
-        asked = np.unique(np.concatenate([found for _, _, found, _, _ in parts]))
+        every, sizes = runs(texts)
+        asked, where = distinct(every)
         length = np.empty(len(asked))
-        length[np.argsort(bucket_of_run(asked, buckets), kind="stable")] = lengths
-        score = np.concatenate([np.bincount(own, length[np.searchsorted(asked, found)][where], b - a) for a, b, found, where, own in parts])
+        length[np.lexsort((asked, bucket_of_run(asked, buckets)))] = lengths
+        score = np.add.reduceat(length[where], np.cumsum(sizes) - sizes)
         columns = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score)]
         return pa.table([docs.column("id"), *columns], names=["id", "n_tokens", "n_known", "base_score", "score"])
 
