@@ -39,7 +39,8 @@ from orderloom.llm.tokens import slices
 SPACE = " \t\n\x0b\x0c\r"
 PROBES = 4
 BITS_PER_HASH = 16
-HASHES_PER_SHARD = 1 << 21
+#: Several shards to a task, so that hashing their numbers spreads them evenly.
+HASHES_PER_SHARD, HASHES_PER_TASK = 1 << 17, 1 << 20
 MOST_FILTER_BYTES = 64 << 20
 
 
@@ -53,6 +54,13 @@ def _hash(key: bytes) -> int:
     return xxhash.xxh3_64_intdigest(key)
 
 
+def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard among the rows, and the places of its rows."""
+    order = np.argsort(shard, kind="stable")
+    found, starts = np.unique(shard[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]), strict=True) if len(order) else ()
+
+
 class Bloom:
     """A filter of 2**log_bits bits over 64-bit hashes."""
 
@@ -98,9 +106,7 @@ def _filters(shards: int, log_bits: int):
         once: dict[int, Bloom] = {}
         twice: dict[int, Bloom] = {}
         for batch in batches:
-            shard = batch.column(2).to_numpy()
-            for s in np.unique(shard).tolist():
-                mine = shard == s
+            for s, mine in by_shard(batch.column(2).to_numpy()):
                 hashes, where = np.unique(batch.column(0).to_numpy()[mine].view(np.uint64), return_inverse=True)
                 times = np.bincount(where, weights=1 + batch.column(1).to_numpy(zero_copy_only=False)[mine])
                 one, two = (x.setdefault(s, Bloom(log_bits)) for x in (once, twice))
@@ -124,9 +130,8 @@ def _suspects(least: int, shards: int, filters):
                 if second is not None:
                     hashes = np.array([_hash(k) for k in flat], np.uint64)
                     shard, repeated = hashes.view(np.int64) % shards, np.zeros(len(hashes), bool)  # as pmod() deals them
-                    for s in np.unique(shard).tolist():
+                    for s, mine in by_shard(shard):
                         if s in second:
-                            mine = shard == s
                             repeated[mine] = second[s].has(hashes[mine])
                     row, flat = row[repeated], [flat[i] for i in np.flatnonzero(repeated)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array([hashlib.sha256(k).digest() for k in flat], pa.binary())], names=["id", "digest"])
@@ -176,7 +181,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
     n = hashes.count()
     shards = -(-n // HASHES_PER_SHARD) or 1
     log_bits = max(13, int(np.ceil(np.log2(max(1, n / shards) * BITS_PER_HASH))))
-    dealt = hashes.withColumn("shard", F.pmod("hash", F.lit(shards).cast("long"))).repartition(shards, "shard")
+    dealt = hashes.withColumn("shard", F.pmod("hash", F.lit(shards).cast("long"))).repartition(-(-n // HASHES_PER_TASK) or 1, "shard")
     filters = scratch.keep(dealt.mapInArrow(_filters(shards, log_bits), "shard long, log_bits long, bits binary"), "filters")
     size = filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
     held = spark.sparkContext.broadcast([tuple(r) for r in filters.collect()]) if size <= most_filter_bytes else None
