@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words a worker remembers. The memory is emptied when full, which changes the time taken only.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_200_000
 #: Words encoded by one call.
 AT_ONCE = 2_000
 #: Stands between words that may have any number of parts; a word that holds it is encoded alone.
