@@ -1,25 +1,35 @@
-"""Licence texts found by the Dice coefficient of word bigrams.
-
-A text is read as segments: its lines, its paragraphs of several lines (divided
-by lines without a word) and, if it has several paragraphs, the whole. Words
-are runs of letters, digits and underscores in lower case, so case, marks and
-layout do not count. A segment of a distinct bigrams can reach Dice t only with
-a template of between a t / (2 - t) and a (2 - t) / t of them; templates are
-kept in order of size and the others are not compared.
-
-Segments of less than two words, null and empty texts match nothing. Of equal
-coefficients the template first by name wins. Repeated rows get equal results.
-An empty table gives no rows. Other columns are not read.
+"""Licence texts found by the Dice coefficient of word bigrams, anywhere in a text.
+
+Words are runs of letters, digits and underscores in lower case, so case, marks
+and layout do not count. A text is read as one row of words, and every window of
+it, inside a line, a paragraph or across them, is held against every template.
+A window of a distinct bigrams can reach Dice t with a template of n only if a
+is between n t / (2 - t) and n (2 - t) / t and it shares n t / (2 - t) bigrams
+at least. So a template that shares fewer with the whole text is left out, and
+as words that share nothing only lower the coefficient, windows start and end
+with a bigram of the template. Nothing is sampled.
+
+Of each template the windows of the highest coefficient are taken that share no
+word. A match gives way to another that explains half of its bigrams or more
+and lies further above t (the shared bigrams, doubled, less t (a + n)); within a
+licence, only to one of no lower coefficient. Of equals the name first in order
+stays.
+
+Null and empty texts match nothing. Repeated rows get equal results. An empty
+table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -82,30 +92,14 @@ def normalised(text: str) -> list[str]:
 
 
 @dataclass(frozen=True)
-class Segment:
-    first_line: int
-    n_lines: int
-    words: list[str]
-
-
-def segments(text: str) -> Iterator[Segment]:
-    lines = [normalised(x) for x in text.split("\n")]
-    paragraphs, start = [], None
-    for i, words in enumerate([*lines, []]):
-        if words and start is None:
-            start = i
-        elif not words and start is not None:
-            paragraphs.append((start, i - start))
-            start = None
-    for i, words in enumerate(lines):
-        if len(words) > 1:
-            yield Segment(i, 1, words)
-    spans = [(a, n) for a, n in paragraphs if n > 1]
-    if len(paragraphs) > 1:
-        first, (last, n) = paragraphs[0][0], paragraphs[-1]
-        spans.append((first, last + n - first))
-    for a, n in spans:
-        yield Segment(a, n, list(chain.from_iterable(lines[a : a + n])))
+class Match:
+    license: str
+    dice: float
+    #: Bigrams first to last, both included; those that the template shares; and how far the match is above the least coefficient.
+    first: int
+    last: int
+    shared: np.ndarray
+    above: float
 
 
 class Templates:
@@ -118,8 +112,15 @@ class Templates:
         self.sizes = [n for n, _, _ in self.found]
         self.slack = 1e-9
         self.fewest = self.sizes[0] * least / (2 - least) - self.slack if self.sizes else float("inf")
+        self.need = np.array([math.ceil(n * least / (2 - least) - self.slack) for n in self.sizes], np.int64)
+        every = sorted(set().union(*(b for _, _, b in self.found)))
+        self.words = {w: i for i, w in enumerate(sorted({w for pair in every for w in pair}), 1)}
+        self.number = np.zeros((len(self.words) + 1) ** 2, np.int32)  # of a bigram of templates, from those of its words
+        self.number[[self.words[v] * (len(self.words) + 1) + self.words[w] for v, w in every]] = np.arange(1, len(every) + 1)
+        self.member = np.array([[False] * len(self.found), *([pair in b for _, _, b in self.found] for pair in every)], bool).reshape(-1, len(self.found))
 
     def best(self, words: list[str]) -> tuple[str, float] | None:
+        """The closest template of all the words."""
         if len(words) - 1 < self.fewest:
             return None
         mine = bigrams(words)
@@ -130,12 +131,114 @@ class Templates:
         return (name, -dice) if -dice >= self.least else None
 
 
-def _scan(templates: Templates):
+    def matches(self, words: list[str]) -> list[Match]:
+        """In order of their first words."""
+        if len(words) - 1 < self.fewest:
+            return []
+        ids = np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
+        numbers = self.number[ids[:-1] * (len(self.words) + 1) + ids[1:]]
+        met = np.unique(numbers)
+        may = np.flatnonzero(self.member[met].sum(axis=0) >= self.need)
+        if not len(may):
+            return []
+        row = Row(words)
+        found = [m for k in may.tolist() for m in self._windows(row, k, self.member[numbers, k])]
+        return sorted(_standing(found), key=lambda m: (m.first, m.last, m.license))
+
+    def _windows(self, row: Row, k: int, inside: np.ndarray) -> Iterator[Match]:
+        n, name, _ = self.found[k]
+        need, most, at = int(self.need[k]), n * (2 - self.least) / self.least + self.slack, np.flatnonzero(inside)
+
+        def rate(first: int, stop: int) -> tuple[float, int, int] | None:
+            """Closest window from ``first`` on that ends before ``stop``, its coefficient negative."""
+            stop, width = min(stop, int(row.after[first])), 2 * int(most) + 2
+            while True:
+                end = min(first + width, stop)
+                new = row.before[first:end] < first
+                size = new.cumsum()
+                if end == stop or size[-1] > most:
+                    break
+                width *= 2
+            dice = 2 * (new & inside[first:end]).cumsum() / (size + n)
+            last = int(dice.argmax())
+            return (-float(dice[last]), first, first + last) if dice[last] >= self.least else None
+
+        # A window needs so many shared bigrams, and bigrams that are new to the text count in any window.
+        start, end = at[: len(at) - need + 1], at[need - 1 :]
+        start = start[(row.fresh[end + 1] - row.fresh[start] <= most) & (end < row.after[start])]
+        heap = [x for i in start.tolist() if (x := rate(i, len(inside)))]
+        heapq.heapify(heap)
+        firsts, lasts = [], []  # of the windows taken, in order
+        while heap:
+            dice, first, last = heapq.heappop(heap)
+            place = bisect_right(firsts, first)
+            if place and lasts[place - 1] + 1 >= first:
+                continue
+            if place < len(firsts) and last + 1 >= firsts[place]:
+                if firsts[place] - 1 > first and (x := rate(first, firsts[place] - 1)):
+                    heapq.heappush(heap, x)
+                continue
+            firsts.insert(place, first)
+            lasts.insert(place, last)
+            shared = first + np.flatnonzero(inside[first : last + 1])
+            size = int((row.before[first : last + 1] < first).sum())
+            yield Match(name, -dice, first, last, shared, (-dice - self.least) * (size + n))
+
+
+class Row:
+    """Where the bigrams of a text stand before and after, and how many are new."""
+
+    def __init__(self, words: list[str]):
+        own: dict[str, int] = {}
+        ids = np.array([own.setdefault(w, len(own)) for w in words], np.int64)
+        codes = ids[:-1] * len(own) + ids[1:]
+        order = np.argsort(codes, kind="stable")
+        again = codes[order[1:]] == codes[order[:-1]]
+        self.before, self.after = np.full(len(codes), -1), np.full(len(codes), len(codes))
+        self.before[order[1:][again]] = order[:-1][again]
+        self.after[order[:-1][again]] = order[1:][again]
+        self.fresh = np.concatenate([[0], (self.before < 0).cumsum()])
+
+
+def _standing(found: list[Match]) -> Iterator[Match]:
+    """Matches that no better one explains."""
+
+    def of_group(group: list[Match]) -> list[Match]:
+        kept: list[Match] = []
+        for m in sorted(group, key=lambda m: (-m.above, -m.dice, m.license, m.first)):
+            rivals = (k for k in kept if k.first <= m.last and m.first <= k.last and (k.license != m.license or k.dice >= m.dice))
+            if not any(2 * np.isin(m.shared, k.shared, assume_unique=True).sum() >= len(m.shared) for k in rivals):
+                kept.append(m)
+        return kept
+
+    group, end = [], -1
+    for m in sorted(found, key=lambda m: m.first):
+        if m.first > end:
+            yield from of_group(group)
+            group = []
+        group.append(m)
+        end = max(end, m.last)
+    yield from of_group(group)
+
+
+def find(templates: Templates, text: str | None) -> list[tuple[str, float, int, int]]:
+    """license, dice, first_line and n_lines of every match."""
+    text = (text or "").lower()
+    found = templates.matches(WORDS.findall(text))
+    if not found:
+        return []
+    upto = np.cumsum([len(WORDS.findall(x)) for x in text.split("\n")])
+    lines = [np.searchsorted(upto, [m.first, m.last + 1], "right").tolist() for m in found]
+    return [(m.license, m.dice, a, b - a + 1) for m, (a, b) in zip(found, lines, strict=True)]
+
+
+def _scan(named: tuple[tuple[str, str], ...], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates = Templates(named, least)
         for whole in batches:
             for a, b in slices(pc.binary_length(whole.column(1)).fill_null(0).to_pylist(), 8 << 20):
                 batch = whole.slice(a, b - a)
-                found = [[(m[0], m[1], s.first_line, s.n_lines) for s in segments(text or "") if (m := templates.best(s.words))] for text in batch.column(1).to_pylist()]
+                found = [find(templates, text) for text in batch.column(1).to_pylist()]
                 kind = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("first_line", pa.int64()), ("n_lines", pa.int64())]))
                 matches = pa.array([[dict(zip(("license", "dice", "first_line", "n_lines"), m, strict=True)) for m in ms] for ms in found], kind)
                 yield pa.RecordBatch.from_arrays([batch.column(0), matches], names=["id", "matches"])
@@ -144,7 +247,7 @@ def _scan(templates: Templates):
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and matches (license, dice, first_line, n_lines; in order of the segments) of every row."""
+    """id and matches (license, dice, first_line, n_lines; in order of their places) of every row."""
     match = T.StructType([T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("first_line", T.LongType()), T.StructField("n_lines", T.LongType())])
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("matches", T.ArrayType(match))])
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_scan(Templates(templates, least)), schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_scan(templates, least), schema)

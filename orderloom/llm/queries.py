@@ -32,7 +32,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each document the closest licence (null: none), its Dice coefficient, and how many segments match one."""
+    """Of each document the closest licence (null: none), its Dice coefficient, and how many places match one."""
     rows = license_scan.scan(_table(spark, sf_dir, "documents"))
     best = F.array_max(F.transform("matches", lambda m: m["dice"]))
     names = F.transform(F.filter("matches", lambda m: m["dice"] == best), lambda m: m["license"])

@@ -114,6 +114,52 @@ def test_licences_equal_a_scan_without_bounds(spark):
             assert templates.best(words) == ((best[1], best[0]) if best[0] >= 0.6 else None)
 
 
+NOTICES_IN_PROSE = [
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("Copyright 2024 Foo. Licensed under the MIT License.", "MIT"),
+    ("one two three four five Licensed under the Apache License, Version 2.0. six seven eight nine", "Apache-2.0"),
+    (f"{prose(3)} Released under the MIT License. {prose(4)}", "MIT"),
+    (f"{prose(3)}\n{prose(5)} Licensed under\nthe MIT License. {prose(4)}\n", "MIT"),
+    (f"{prose(1)} {' '.join(license_scan.TEMPLATES[2][1].split())} {prose(2)}", "Apache-2.0"),
+]
+
+
+def test_licences_inside_prose(spark):
+    found = {r.id: r.matches for r in license_scan.scan(documents(spark, [(i, t, "a") for i, (t, _) in enumerate(NOTICES_IN_PROSE)])).collect()}
+    assert {i: [(m.license, m.dice) for m in ms] for i, ms in found.items()} == {i: [(name, 1.0)] for i, (_, name) in enumerate(NOTICES_IN_PROSE)}
+    assert [(m.first_line, m.n_lines) for m in found[4]] == [(1, 2)]
+
+
+def test_licences_of_two_kinds_and_places():
+    templates = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    header = " ".join(license_scan.TEMPLATES[2][1].split())
+    cut = header.index("Unless")
+    text = f"Licensed under the MIT {'Licensed under the MIT License. ' * 3}\n{header[:cut]} Licensed under CC BY 4.0. {header[cut:]}"
+    found = license_scan.find(templates, text)
+    assert [m[0] for m in found if m[0] == "MIT"] == ["MIT"] * 4
+    assert {m[0] for m in found} == {"MIT", "Apache-2.0", "CC-BY-4.0"}
+
+
+def test_licence_windows_equal_all_windows_by_hand():
+    rng, named = np.random.default_rng(5), (("X", "a b c a d e"), ("Y", "b c d b e f g"))
+    templates = license_scan.Templates(named, 0.8)
+    hits = 0
+    for _ in range(400):
+        words = [w for _ in range(rng.integers(0, 4)) for w in [*rng.choice(list("abcdefgh"), rng.integers(0, 6)), *named[rng.integers(2)][1].split()] if rng.random() > 0.12]
+        best = 0.0
+        for _, text in named:
+            b = license_scan.bigrams(text.split())
+            for i in range(len(words)):
+                for j in range(i + 2, len(words) + 1):
+                    a = license_scan.bigrams(words[i:j])
+                    best = max(best, 2 * len(a & b) / (len(a) + len(b)))
+        found = [m.dice for k, (_, _, b) in enumerate(templates.found) if len(words) > 1 for m in templates._windows(license_scan.Row(words), k, np.array([p in b for p in zip(words, words[1:], strict=False)]))]
+        assert max(found, default=0.0) == (best if best >= 0.8 else 0.0)
+        assert bool(templates.matches(words)) == (best >= 0.8)
+        hits += best >= 0.8
+    assert hits > 10
+
+
 def plain_trie(texts, depth):
     trie = defaultdict(lambda: defaultdict(int))
     for text in texts:
