@@ -80,6 +80,123 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# The paragraphs of notices and of whole licences. Placeholders for names and years are left out.
+_MIT = ("""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following conditions:""",
+    """The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+        the Software.""",
+    """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+        THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+        AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+        CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE.""")
+_BSD = ("""Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met:""",
+    """1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer.""",
+    """2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+        following disclaimer in the documentation and/or other materials provided with the distribution.""")
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+        WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+        USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_END = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+        ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+        DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+        WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE."""
+_UNLICENSE = ("This is free and unencumbered software released into the public domain.",
+    """Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form
+        or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    """In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+        copyright interest in the software to the public domain. We make this dedication for the benefit of the public at
+        large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+        relinquishment in perpetuity of all present and future rights to this software under copyright law.""",
+    _MIT[2].replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS"))
+
+
+def _gnu(name: str, version: str, thing: str, mark: str) -> tuple[str, str, str]:
+    """Header of a GNU licence without its last paragraph, and the last one with the address on the web."""
+    return (f"""This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as
+        published by the Free Software Foundation{"," if mark == ":" else ";"} either version {version} of the License, or (at your
+        option) any later version.""",
+        f"""This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.""",
+        f"""You should have received a copy of the GNU {name} along with this {thing}. If not, see
+        <https://www.gnu.org/licenses/>.""")
+
+
+def _by_post(name: str, thing: str) -> str:
+    return f"""You should have received a copy of the GNU {name} along with this {thing}; if not, write to the Free Software
+        Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""
+
+
+def _opening(name: str, version: str, years: str) -> tuple[str, str]:
+    return (f"GNU {name} Version {version} Copyright (C) {years} Free Software Foundation, Inc.",
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.")
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_GPL2, _GPL3 = _gnu(_GPL, "2", "program", ";"), _gnu(_GPL, "3", "program", ":")
+_LGPL21 = _gnu(_LGPL, "2.1", "library", ";")
+
+PARAGRAPHS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("0BSD", ("""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted.""", _ISC_END)),
+    ("AGPL-3.0", (f"This work is licensed under the GNU {_AGPL}, version 3.",)),
+    ("AGPL-3.0", _gnu(_AGPL, "3", "program", ":")),
+    ("AGPL-3.0", _opening(_AGPL, "3, 19 November 2007", "2007")),
+    ("Apache-2.0", ("""Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+        compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0""",
+        """Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+        the specific language governing permissions and limitations under the License.""")),
+    ("Apache-2.0", ("""Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE,
+        REPRODUCTION, AND DISTRIBUTION""",)),
+    ("BSD-2-Clause", ("Licensed under the BSD 2-Clause License.",)),
+    ("BSD-2-Clause", (*_BSD, _BSD_END)),
+    ("BSD-3-Clause", (*_BSD, _BSD_NAMES, _BSD_END)),
+    ("GPL-2.0", (*_GPL2[:2], _by_post(_GPL, "program"))),
+    ("GPL-2.0", _GPL2),
+    ("GPL-2.0", (f"""This program is free software; you can redistribute it and/or modify it under the terms of the GNU {_GPL}
+        version 2 as published by the Free Software Foundation.""", _GPL2[1])),
+    ("GPL-2.0", _opening(_GPL, "2, June 1991", "1989, 1991")),
+    ("GPL-3.0", _GPL3),
+    ("GPL-3.0", _opening(_GPL, "3, 29 June 2007", "2007")),
+    ("ISC", ("""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies.""", _ISC_END)),
+    ("LGPL-2.1", (f"This work is licensed under the GNU {_LGPL}, version 2.1.",)),
+    ("LGPL-2.1", (*_LGPL21[:2], _by_post(_LGPL, "library"))),
+    ("LGPL-2.1", _LGPL21),
+    ("LGPL-2.1", _opening(_LGPL, "2.1, February 1999", "1991, 1999")),
+    ("LGPL-3.0", (f"This work is licensed under the GNU {_LGPL}, version 3.",)),
+    ("LGPL-3.0", _gnu(_LGPL, "3", "program", ":")),
+    ("LGPL-3.0", _opening(_LGPL, "3, 29 June 2007", "2007")),
+    ("MIT", _MIT),
+    ("Unlicense", _UNLICENSE),
+)
+
+
+def known() -> tuple[tuple[str, str], ...]:
+    """All templates: the short ones, each paragraph by itself, and all paragraphs of an entry as one.
+
+    A paragraph that several licences share is named by all of them, the last
+    first, so that among equals each of them alone comes before it.
+    """
+    owners: dict[str, set[str]] = {}
+    for name, texts in [*((n, (t,)) for n, t in TEMPLATES), *PARAGRAPHS]:
+        for text in {*texts, " ".join(texts)}:
+            owners.setdefault(" ".join(normalised(text)), set()).add(name)
+    return tuple((" OR ".join(sorted(names, reverse=True)), text) for text, names in owners.items())
+
+
 Bigrams = set[tuple[str, str]]
 
 
@@ -246,8 +363,8 @@ def _scan(named: tuple[tuple[str, str], ...], least: float):
     return run
 
 
-def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and matches (license, dice, first_line, n_lines; in order of their places) of every row."""
+def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] | None = None, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Against ``known()`` unless told otherwise: id and matches (license, dice, first_line, n_lines; in order of their places) of every row."""
     match = T.StructType([T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("first_line", T.LongType()), T.StructField("n_lines", T.LongType())])
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("matches", T.ArrayType(match))])
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_scan(templates, least), schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_scan(known() if templates is None else templates, least), schema)

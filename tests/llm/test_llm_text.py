@@ -130,6 +130,24 @@ def test_licences_inside_prose(spark):
     assert [(m.first_line, m.n_lines) for m in found[4]] == [(1, 2)]
 
 
+def test_licences_by_paragraph_and_whole(spark):
+    gpl3 = [" ".join(p.split()) for p in license_scan._GPL3]
+    texts = {i: (name, " ".join(" ".join(ps).split())) for i, (name, ps) in enumerate(license_scan.PARAGRAPHS)}
+    texts |= {100 + i: (name, f"{prose(4)}\n\n{'\n\n'.join(ps)}\n\n{prose(2)}") for i, (name, ps) in enumerate(license_scan.PARAGRAPHS)}
+    texts |= {200 + i: ("GPL-3.0", f"{prose(4)}\n\n{gpl3[0]}\n\n{prose(i)}\n\n{gpl3[1]}") for i in range(2)}
+    texts[300] = "GPL-3.0 OR GPL-2.0", f"{prose(4)}\n{gpl3[1]} {prose(4)}"
+    texts[301] = "BSD-3-Clause OR BSD-2-Clause", license_scan._BSD_END
+    texts[302] = "MIT", license_scan._MIT[2]
+    texts[303] = "AGPL-3.0", "This file is licensed under the GNU Affero General Public License, version 3"
+    rows = license_scan.scan(documents(spark, [(i, t, "a") for i, (_, t) in texts.items()])).collect()
+    for r in rows:
+        best = max(m.dice for m in r.matches)
+        assert min(m.license for m in r.matches if m.dice == best) == texts[r.id][0], texts[r.id]
+        assert best == 1.0 or r.id == 303
+    assert len(rows) == len(texts)
+    assert all(len(r.matches) == 1 for r in rows if r.id < 200)
+
+
 def test_licences_of_two_kinds_and_places():
     templates = license_scan.Templates(license_scan.TEMPLATES, 0.8)
     header = " ".join(license_scan.TEMPLATES[2][1].split())
