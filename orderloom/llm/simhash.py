@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,8 @@ from orderloom.llm.tokens import slices
 
 SEED = 42
 BYTES = 8
+#: Column of the fingerprint beside those of the documents.
+FP = "__fp"
 #: Lists up to this length are compared pair by pair.
 SHORT = 64
 
@@ -145,20 +147,43 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return posted.repartition("choice", "key").sortWithinPartitions("choice", "key").mapInArrow(_links(max_bits), "a long, b long")
 
 
+def _rooted(distinct: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """``distinct``, one row per fingerprint ``fp``, with the ``root`` of its component."""
+    linked = components(scratch.keep(links(distinct.select("fp"), max_bits), "links"), scratch)
+    return distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp")).drop("component")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, fp and component_id of every row."""
     scratch = Scratch(docs.sparkSession)
     found = scratch.keep(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     distinct = scratch.keep(found.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    linked = components(scratch.keep(links(distinct.select("fp"), max_bits), "links"), scratch)
-    rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    rooted = _rooted(distinct, max_bits, scratch)
     named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
     return found.join(named, "fp").select("id", "fp", "component_id")
 
 
+def _with_fingerprints(shingle: int, place: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a, b in slices(pc.binary_length(whole.column(place)).fill_null(0).to_pylist(), 16 << 20):
+                batch = whole.slice(a, b - a)
+                found = np.array([fingerprint(t, shingle) for t in batch.column(place).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *batch.columns], names=[FP, *batch.schema.names])
+
+    return run
+
+
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document of the smallest id of each component. Of rows that share that id, the one whose text sorts first."""
-    kept = near_duplicates(docs, shingle, max_bits, id_col, text_col).where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    rows = docs.alias("d").join(kept.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k.id")), "left_semi")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), text).alias("__row")).select("__row.*")
+    """The document of the smallest id of each component, null ids last. Of its rows that share that id, the one whose text sorts first."""
+    scratch = Scratch(docs.sparkSession)
+    schema = T.StructType([T.StructField(FP, T.LongType()), *docs.schema.fields])
+    rows = docs.mapInArrow(_with_fingerprints(shingle, docs.columns.index(text_col)), schema)
+
+    def first(row: str) -> Column:
+        i = F.col(row)[id_col]
+        return F.min_by(row, F.struct(i.isNull(), i, F.coalesce(F.col(row)[text_col], F.lit("")))).alias("row")
+
+    whole = rows.select(F.col(FP).alias("fp"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    distinct = scratch.keep(whole.groupBy("fp").agg(first("row")), "distinct")
+    return _rooted(distinct, max_bits, scratch).groupBy("root").agg(first("row")).select("row.*")

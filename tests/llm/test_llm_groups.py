@@ -55,6 +55,19 @@ def test_simhash_documents(spark):
     assert sorted((r.doc_id for r in kept), key=repr) == sorted({c for _, _, c in want}, key=repr)
 
 
+def test_simhash_keeps_a_row_of_every_component(spark):
+    unlike = [prose(k, 80) for k in (3, 4, 5, 7)]
+    fps = [plain_fingerprint(t) for t in unlike]
+    assert min((a ^ b).bit_count() for i, a in enumerate(fps) for b in fps[:i]) > 2
+    given = [
+        (None, unlike[0], "a"), (None, unlike[1], "b"),  # null ids, unlike texts
+        (5, unlike[2], "c"), (5, unlike[3], "d"),  # one id, unlike texts, the first a copy of a smaller id's
+        (2, unlike[2].upper(), "e"), (None, unlike[2], "f"),
+    ]
+    found = sorted((r.source for r in simhash.keep_one(documents(spark, given)).collect()))
+    assert found == ["a", "b", "d", "e"]
+
+
 @pytest.mark.parametrize("max_bits", [1, 2, 3])
 def test_simhash_links_of_dense_groups(spark, max_bits):
     rng, fps = np.random.default_rng(max_bits), set()
