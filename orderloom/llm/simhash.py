@@ -22,7 +22,7 @@ rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +117,7 @@ def _links(max_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the list that may go on in the next batch
-        for batch in [*batches, None]:
+        for batch in chain(batches, (None,)):
             if batch is None:
                 rows = held
             else:

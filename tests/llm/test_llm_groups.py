@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from cases import DOCS, documents, prose
@@ -89,6 +90,23 @@ def test_simhash_links_of_dense_groups(spark, max_bits):
     assert len({(x, groups.find(k)) for k, x in enumerate(label)}) == len(set(label))
 
 
+def test_simhash_links_are_given_while_batches_come():
+    taken, mask = [], 0x00FFFFFFFFFFFF00  # of pairs that differ in the lowest byte alone
+    choice = simhash.masks(2).index(mask)
+
+    def batches():
+        for k in range(4):
+            taken.append(k)
+            fps = np.array([k << 50, k << 50 | 1, k << 50 | 3], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(3, choice)), pa.array(fps & mask), pa.array(fps)], names=["choice", "key", "fp"])
+
+    found = simhash._links(2)(batches())
+    first = next(found)
+    assert taken == [0] and first.num_rows == 0  # its one list may go on
+    assert next(found).num_rows == 2 and taken == [0, 1]
+    assert sum(b.num_rows for b in found) == 6 and taken == [0, 1, 2, 3]
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(0, 90)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
