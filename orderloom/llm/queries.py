@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embedding_dedup, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, token_files
+from orderloom.llm import embedding_dedup, filter_audit, importance, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, suffix_dedup, token_files
 from orderloom.llm.common import remainder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -83,6 +83,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(manifest, docs.schema["doc_id"].dataType).withColumnRenamed("id", "doc_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(filter_audit.failures(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "labels"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.cut_repeats(_table(spark, sf_dir, "documents"), length=200)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, least_words=20, seed=7)
+    return rows.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -94,6 +109,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_importance": op13_importance,
 }
 
 #: Words of a text, and lower case of A-Z alone, as DuckDB says it.
@@ -161,4 +179,39 @@ ORACLES = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op11_filter_audit": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+        judged AS (SELECT doc_id, part, concat(
+                CASE WHEN len(w) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+                CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails FROM d),
+        said AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+        cells AS MATERIALIZED (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM judged LEFT JOIN said USING (doc_id) GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+        orders(o) AS (SELECT '' UNION ALL SELECT o || f FROM orders, letters WHERE strpos(o, f) = 0),
+        steps AS (SELECT o, step, o[step] AS f FROM orders, range(1, 6) r(step) WHERE length(o) = 5),
+        met AS (SELECT part, o, step, f, fails, n, good, toxic,
+                CASE WHEN fails = '' THEN 99 ELSE list_min(list_transform(string_split(fails, ''), lambda x: strpos(o, x))) END AS stop FROM cells, steps),
+        summed AS (SELECT part, o, step, f, coalesce(sum(n) FILTER (stop > step), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (stop = step), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (stop < step AND strpos(fails, f) > 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (stop = step), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (stop = step), 0)::BIGINT AS toxic_lost
+            FROM met GROUP BY ALL)
+        SELECT part, o AS filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM summed
+    """,
+    "op12_suffix_dedup": r"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+        w AS MATERIALIZED (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS m FROM (SELECT r, h, unnest(range(n - 199)) AS p FROM d)),
+        again AS (SELECT m FROM w GROUP BY ALL HAVING count(*) > 1),
+        starts AS (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS gap FROM w WHERE m IN (SELECT m FROM again)),
+        runs AS (SELECT r, min(p) AS a, max(p) + 200 AS b FROM (SELECT *, count(*) FILTER (gap > 200) OVER (PARTITION BY r ORDER BY p) AS run FROM starts) GROUP BY r, run),
+        cut AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS upto FROM runs),
+        rest AS (SELECT r, count(*)::BIGINT AS n_spans, sum(b - a)::BIGINT AS n_removed, string_agg(substr(h, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS head, max(b) AS last
+            FROM cut JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+            sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+        FROM d LEFT JOIN rest USING (r)
+    """,
 }
