@@ -4,7 +4,7 @@ import pytest
 from cases import DOCS, documents, rows, with_more_columns
 from pyspark.sql import functions as F
 
-from orderloom.llm import embedding_dedup, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, token_files
+from orderloom.llm import embedding_dedup, filter_audit, importance, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, suffix_dedup, token_files
 from orderloom.llm.queries import tokenizer_path
 
 MODEL = quality_classifier.RuleEnsemble(0.5, (((quality_classifier.Split(0, True, 2.0),), 1.5),))
@@ -22,8 +22,11 @@ OPERATORS = {
     "simhash_rows": lambda d: simhash.keep_one(d).select(*KEPT),
     "lines": lambda d: line_dedup.drop_repeated_lines(d).select(*KEPT, line_dedup.LINES, line_dedup.DROPPED),
     "files": lambda d: token_files.read(token_files.write(d, tokenizer_path()), d.schema["doc_id"].dataType),
+    "audit": lambda d: filter_audit.failures(d, part_col="source"),
+    "repeats": lambda d: suffix_dedup.cut_repeats(d, 40),
+    "resampling": lambda d: importance.resample(d, d.select("text")),
 }
-ONE_EACH = ["classifier", "licences", "lm", "cascade", "mixing", "simhash", "lines", "files"]
+ONE_EACH = ["classifier", "licences", "lm", "cascade", "mixing", "simhash", "lines", "files", "audit", "repeats", "resampling"]
 
 
 @pytest.mark.parametrize("name", OPERATORS)

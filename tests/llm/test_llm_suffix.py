@@ -1,0 +1,115 @@
+"""Merged Burrows-Wheeler transforms and the cut of repeated bytes, against a plain count of all windows."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from cases import DOCS, documents
+
+from orderloom.llm import bwt, suffix_dedup
+
+
+def plain_windows(texts, length):
+    return Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+
+
+def plain_cut(texts, length):
+    """Removed runs and kept bytes of every text."""
+    often, out = plain_windows(texts, length), []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if often[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = np.flatnonzero(np.diff(np.frombuffer(b"\0" + gone + b"\0", np.int8))).tolist()
+        out.append((list(zip(runs[::2], runs[1::2])), bytes(b for b, g in zip(t, gone) if not g)))
+    return out
+
+
+def random_strings(rng, letters, n=30, longest=300):
+    base = bytes(rng.choices(range(97, 97 + letters), k=400))
+    parts = []
+    for _ in range(n):
+        a = rng.randrange(380)
+        part = bytearray(base[a : a + rng.randrange(longest)])
+        if part and rng.random() < 0.5:
+            part[rng.randrange(len(part))] = 120
+        parts.append(bytes(part))
+    return parts
+
+
+@pytest.mark.parametrize("length", [1, 2, 5, 7, 20, 45, 80, 200])
+@pytest.mark.parametrize("seed", range(3))
+def test_merged_transforms_know_every_repeated_window(length, seed):
+    rng = random.Random(seed)
+    parts = [p for p in random_strings(rng, rng.randrange(1, 4)) if len(p) >= length]
+    copies = [rng.randrange(1, 3) for _ in parts]
+    end = np.cumsum([len(p) for p in parts]).astype(np.int64)
+    strings = bwt.Strings(np.frombuffer(b"".join(parts), np.uint8), end - [len(p) for p in parts], end, bwt.width_for(length))
+    found = bwt.repeated(strings, np.array(copies, np.int64), length, rng.randrange(1, 2000))
+    often = Counter()
+    for p, n in zip(parts, copies, strict=True):
+        for i in range(len(p) - length + 1):
+            often[p[i : i + length]] += n
+    want = [i + length <= len(p) and often[p[i : i + length]] > 1 for p in parts for i in range(len(p))]
+    assert found.tolist() == want
+
+
+def test_the_merge_gives_the_order_and_common_prefixes_of_one_sort():
+    rng = random.Random(5)
+    parts = [p for p in random_strings(rng, 2, 12, 60) if p]
+    end = np.cumsum([len(p) for p in parts]).astype(np.int64)
+    start = end - [len(p) for p in parts]
+    strings, steps = bwt.Strings(np.frombuffer(b"".join(parts), np.uint8), start, end, 2), 4
+    cuts = [0, 3, 4, 9, len(parts)]
+    merged = bwt.merge([bwt.transform(strings, a, b, steps) for a, b in zip(cuts, cuts[1:])], steps)
+    where = np.searchsorted(start, merged.suffix, "right") - 1
+    # Letters of two bytes; what is left at the end of a string is no letter, and sorts before all.
+    read = [[strings.data[p + 2 * k : p + 2 * k + 2].tobytes() for k in range(steps) if p + 2 * k + 2 <= end[w]] for p, w in zip(merged.suffix, where)]
+    assert read == sorted(read) and sorted(merged.suffix) == sorted(p for a, b in zip(start, end) for p in range(a, b - 1))
+    for x, y, common in zip(read, read[1:], merged.common[1:]):
+        same = next((k for k in range(steps) if x[k : k + 1] != y[k : k + 1]), steps)
+        shared_end = same < steps and len(x) == len(y) == same
+        assert common == (steps if shared_end else same) or (shared_end and common >= same)
+
+
+@pytest.mark.parametrize("length, most", [(20, 4096), (20, 2), (200, 3), (7, 2), (1, 1)])
+def test_cut_bytes_equal_a_plain_count(spark, length, most):
+    """A small ``most`` deals almost every anchor anew, by halves down to single windows."""
+    rng = random.Random(length + most)
+    base = "".join(rng.choice("abcdeé ") for _ in range(1500))
+    texts = [None, "", "x" * 700, "ab" * 500]
+    for _ in range(50):
+        a = rng.randrange(1400)
+        text = base[a : a + rng.randrange(600)]
+        at = rng.randrange(len(text)) if text else 0
+        text = text[:at] + rng.choice("xyz") + text[at + 1 :] if rng.random() < 0.6 else text
+        texts.append(text + "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(100))))
+    texts += texts[10:14]
+    docs = spark.createDataFrame([(i if i % 7 else None, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, anchor string, found string").repartition(3)
+    found = suffix_dedup.cut_repeats(docs, length, most_strings=most, merged_bytes=5_000, shard_bytes=700).collect()
+    got = sorted(((r.id is None, r.id or 0, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in found))
+    raw = [(t or "").encode() for t in texts]
+    assert got == sorted((not i % 7, i if i % 7 else 0, len(raw[i]), *one) for i, one in enumerate(plain_cut(raw, length)))
+
+
+def test_every_kind_of_document(spark):
+    raw = [(t or "").encode() for _, t, _ in DOCS]
+    found = sorted((repr(r.id), [tuple(s) for s in r.spans], bytes(r.kept)) for r in suffix_dedup.cut_repeats(documents(spark), 50).collect())
+    assert found == sorted((repr(i), *one) for (i, _, _), one in zip(DOCS, plain_cut(raw, 50)))
+
+
+def test_a_text_of_many_pieces(spark):
+    """Longer than what is worked through at a time; one passage stands across the border of two pieces, and again in a short text."""
+    rng = random.Random(9)
+    long = bytearray(rng.choices(range(97, 123), k=suffix_dedup.PIECE * 2 + 5_000))
+    passage = bytes(rng.choices(range(97, 123), k=450))
+    for at in (1_000, suffix_dedup.PIECE - 100, suffix_dedup.PIECE * 2 - 449):
+        long[at : at + 450] = passage
+    docs = spark.createDataFrame([(1, long.decode()), (2, "#" + passage.decode()[:300] + "#")], "doc_id long, text string")
+    found = {r.id: [tuple(s) for s in r.spans] for r in suffix_dedup.cut_repeats(docs).collect()}
+    starts = (1_000, suffix_dedup.PIECE - 100, suffix_dedup.PIECE * 2 - 449)
+    spans = found[1]
+    assert [a <= s and e >= s + 450 and e - a < 460 for (a, e), s in zip(spans, starts, strict=True)] == [True] * 3
+    assert found[2] == [(1, 301)]
