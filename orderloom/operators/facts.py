@@ -30,14 +30,18 @@ def _bought(orders: DataFrame, window: LoadWindow | None) -> DataFrame:
     return orders.where(window.holds(PURCHASE)) if window else orders
 
 
-def valid_items(items: DataFrame) -> DataFrame:
-    return items.where(
+def item_is_valid() -> Column:
+    return (
         _present("order_id", "order_item_id", "product_id", "seller_id")
         & c.valid_amount("price")
         & c.valid_amount("freight_value")
     )
 
 
+def valid_items(items: DataFrame) -> DataFrame:
+    return items.where(item_is_valid())
+
+
 def order_totals() -> dict[str, Column]:
     return {
         "item_count": F.count("order_item_id"),

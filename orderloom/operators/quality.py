@@ -58,6 +58,30 @@ def review_rules() -> dict[str, Column]:
     }
 
 
+RULES = {"orders": order_rules, "items": item_rules, "payments": payment_rules, "reviews": review_rules}
+
+#: Rules whose rows are mended and loaded.
+MENDED = ("instalments zero",)
+
+
+def judged(rows: DataFrame, table_name: str) -> DataFrame:
+    """The rows with the rules they break, in one pass; a rule that cannot be decided is not broken."""
+    broken = [F.when(condition, F.lit(rule)) for rule, condition in RULES[table_name]().items() if rule not in MENDED]
+    return rows.withColumn("broken_rules", F.array_compact(F.array(*broken)))
+
+
+def split(rows: DataFrame, table_name: str) -> tuple[DataFrame, DataFrame]:
+    """Clean rows, and rejected ones with the rules they break: together they are all rows."""
+    found = judged(rows, table_name)
+    clean = F.size("broken_rules") == 0
+    return found.where(clean).drop("broken_rules"), found.where(~clean)
+
+
+def key_value(table: Table) -> Column:
+    """Key columns joined by ``|``, NULL as ``\\N``."""
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit(r"\N")) for k in table.key]).alias("key_value")
+
+
 def report(rows: DataFrame, table_name: str, rules: Mapping[str, Column]) -> DataFrame:
     """One row per rule; all rules are counted in a single pass over the rows."""
     counted = rows.agg(
@@ -104,15 +128,16 @@ def reviews_report(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     return report(reviews, "reviews", review_rules()).unionByName(orphans(reviews, orders, "reviews"))
 
 
-def duplicate_keys(rows: DataFrame, table: Table, table_name: str) -> DataFrame:
-    """Key values that occur more than once, key columns joined by ``|``, NULL as ``\\N``."""
+def duplicate_keys(rows: DataFrame, table: Table, table_name: str, *more: str) -> DataFrame:
+    """Key values that occur more than once, key columns joined by ``|``, NULL as ``\\N``; ``more``: key columns to keep."""
     return (
         rows.groupBy(*table.key)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
         .select(
+            *more,
             F.lit(table_name).alias("table_name"),
-            F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit(r"\N")) for k in table.key]).alias("key_value"),
+            key_value(table),
             "n_rows",
         )
     )
@@ -126,18 +151,16 @@ def rules_report(orders: DataFrame, items: DataFrame, payments: DataFrame, revie
     )
 
 
-def all_duplicate_keys(raw: Mapping[str, DataFrame]) -> DataFrame:
+def all_duplicate_keys(raw: Mapping[str, DataFrame], *more: str) -> DataFrame:
     """Repeats in every raw table that declares a key."""
-    found = [duplicate_keys(rows, RAW[name], name) for name, rows in raw.items() if RAW[name].key]
+    found = [duplicate_keys(rows, RAW[name], name, *more) for name, rows in raw.items() if RAW[name].key]
     return reduce(DataFrame.unionByName, found)
 
 
-def late_rows(rows: DataFrame, table: Table, loaded_orders: DataFrame, loaded: DataFrame, table_name: str) -> DataFrame:
-    """Rows that came after their order was loaded, and so are in no increment."""
-    key = list(table.key)
-    of_loaded = rows.join(loaded_orders.select("order_id"), "order_id", "left_semi")
-    counted = of_loaded.agg(F.count(F.lit(1)).alias("checked_rows"))
-    missing = of_loaded.join(loaded.select(*key), key, "left_anti").agg(F.count(F.lit(1)).alias("failed_rows"))
-    return counted.join(missing, F.lit(True)).select(
+def late_rows(changes: DataFrame, table_name: str) -> DataFrame:
+    """Rows that came after their order was loaded, from the orders a load found changed."""
+    n, before = F.col(f"n_{table_name}"), F.col(f"n_{table_name}_before")
+    loaded = changes.where((F.col("change") == "changed") & F.col("day_before").isNotNull())
+    return loaded.agg(F.coalesce(F.sum(n), F.lit(0)).alias("checked_rows"), F.coalesce(F.sum(F.greatest(n - before, F.lit(0))), F.lit(0)).alias("failed_rows")).select(
         F.lit(table_name).alias("table_name"), F.lit("not loaded with its order").alias("rule"), "checked_rows", "failed_rows"
     )

@@ -16,7 +16,7 @@ from orderloom import schemas as s
 from orderloom.params import LoadWindow
 from orderloom.plans.queries import DAY, EARLIER_DT, FULL, LATER_DT, MONTH
 from orderloom.schemas import Table
-from orderloom.sources.bindings import TRANSLATION_COLUMNS, UNTRANSLATED, raw_sql
+from orderloom.sources.bindings import TRANSLATION_COLUMNS, UNTRANSLATED, raw_sql, state_sql
 
 ORACLES: dict[str, str] = {}
 
@@ -548,6 +548,8 @@ ORACLES["quality_review_rules"] = _with(
     _raw("orders", "reviews"), f"{_broken('reviews')} union all {_unknown('reviews')}"
 )
 _CHECKED = [name for name, table in s.RAW.items() if table.key]
+
+
 def _shown(key: str) -> str:
     return f"coalesce(cast({key} as varchar), '\\N')"
 
@@ -560,3 +562,42 @@ ORACLES["quality_duplicate_keys"] = _with(
         for name in _CHECKED
     ),
 )
+
+
+def _key(name: str, source: str = "") -> str:
+    return f"concat_ws('|', {', '.join(_shown(source + key) for key in s.RAW[name].key)})"
+
+
+def _rejected(name: str) -> str:
+    rules = ", ".join(f"case when {condition} then '{rule}' end" for rule, condition in BROKEN[name].items() if rule != "instalments zero")
+    return f"select * from (select '{name}' as table_name, {_key(name)} as key_value, concat_ws('; ', {rules}) as broken_rules from raw_{name}) where broken_rules <> ''"
+
+
+ORACLES["rejected_rows"] = _with(_raw(*BROKEN), " union all ".join(_rejected(name) for name in BROKEN))
+
+
+def _states(*names: str) -> dict[str, str]:
+    return {f"{when}_{name}": state_sql(when, name) for name in names for when in ("before", "now")}
+
+
+def _differing(name: str) -> str:
+    """All rows of a key as one sorted text, compared."""
+    keys = ", ".join(s.RAW[name].key)
+    sides = [f"{w} as (select {keys}, count(*) as n, list_sort(list(cast(t as varchar))) as r from {w}_{name} t group by {keys})" for w in ("before", "now")]
+    same = " and ".join(f"before.{k} is not distinct from now.{k}" for k in s.RAW[name].key)
+    key = _key(name, "now.")
+    return f"""(with {', '.join(sides)}
+        select '{name}' as table_name, case when now.n is null then {_key(name, 'before.')} else {key} end as key_value,
+            case when before.n is null then 'inserted' when now.n is null then 'removed' else 'changed' end as change,
+            coalesce(before.n, 0) as rows_before, coalesce(now.n, 0) as rows_now
+        from before full join now on {same} where before.r is distinct from now.r)"""
+
+
+_COMPARED = ("orders", "items", "payments")
+ORACLES["snapshot_difference"] = _with(_states(*_COMPARED), " union all ".join(f"select * from {_differing(name)}" for name in _COMPARED))
+ORACLES["late_rows"] = _with(
+    _states("payments"),
+    "select * replace (cast(payment_value as double) as payment_value) from ("
+    "(select * from now_payments union all select * from now_payments where cast(order_id as bigint) % 23 = 0)"
+    " except all select * from before_payments)",
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import types as T
 
 from orderloom import schemas as s
 from orderloom.functions import columns as c
-from orderloom.operators import boards, dims, facts, ods, quality, summaries
+from orderloom.operators import boards, changes, dims, facts, ods, quality, summaries
 from orderloom.params import LoadWindow, Select
-from orderloom.sources.bindings import headerless_translation, raw
+from orderloom.sources.bindings import headerless_translation, raw, state
 from orderloom.sources.tables import scratch_store
 
 FULL = LoadWindow("1995-01-01", "2002-01-01", "2002-01-01")
@@ -472,3 +473,36 @@ def quality_review_rules(spark, sf_dir):
 @query
 def quality_duplicate_keys(spark, sf_dir):
     return quality.all_duplicate_keys({name: raw(spark, sf_dir, name) for name in s.RAW})
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """Rows no fact takes, with the rules they break."""
+
+    def rejected(name):
+        _, rows = quality.split(raw(spark, sf_dir, name), name)
+        return rows.select(F.lit(name).alias("table_name"), quality.key_value(s.RAW[name]), F.array_join("broken_rules", "; ").alias("broken_rules"))
+
+    return reduce(DataFrame.unionByName, map(rejected, quality.RULES))
+
+
+# --- changes between loads --------------------------------------------------
+
+
+@query
+def snapshot_difference(spark, sf_dir):
+    """Orders, items and payments that were inserted, changed or removed."""
+
+    def differing(name):
+        found = changes.difference(state(spark, sf_dir, "before", name), state(spark, sf_dir, "now", name), s.RAW[name])
+        return found.select(F.lit(name).alias("table_name"), quality.key_value(s.RAW[name]), "change", "rows_before", "rows_now")
+
+    return reduce(DataFrame.unionByName, map(differing, ("orders", "items", "payments")))
+
+
+@query
+def late_rows(spark, sf_dir):
+    """Payments of the source, some of them twice, that no load has taken."""
+    now = state(spark, sf_dir, "now", "payments")
+    twice = now.unionByName(now.where("cast(order_id as bigint) % 23 = 0"))
+    return changes.surplus(twice, state(spark, sf_dir, "before", "payments"), s.PAYMENTS)

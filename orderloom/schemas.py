@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -16,6 +16,7 @@ _MEAN = T.DecimalType(10, 2)
 _RATE = T.DecimalType(10, 4)
 
 DT = T.StructField("dt", _STRING, True, {"comment": "data date, yyyy-MM-dd"})
+MONTH = T.StructField("month", _STRING, True, {"comment": "month of date_id, yyyy-MM"})
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,10 @@ class Table:
     key: tuple[str, ...]
     columns: tuple[tuple[str, T.DataType, str], ...]
     dated: bool = True
+    #: Below ``dt`` the rows lie by the month of their ``date_id``, so that a few days are read without the rest.
+    by_month: bool = False
+    #: Each ``dt`` is dealt and sorted by this column, so that joins and groupings by it need no shuffle.
+    bucketed_by: str | None = None
 
     @property
     def names(self) -> list[str]:
@@ -44,7 +49,7 @@ class Table:
 
     def named(self, name: str) -> Table:
         """Another table of the same shape."""
-        return Table(name, self.comment, self.key, self.columns, self.dated)
+        return replace(self, name=name)
 
     def conform(self, rows: DataFrame) -> DataFrame:
         """Pick by name, order and type as declared; a value that does not fit raises."""
@@ -202,7 +207,7 @@ FACT_ORDER = Table("fact_order_di", "order fulfilment, one row per order item",
     ("order_total_amount", _MONEY, "price and freight of the order's valid items"),
     ("deliver_duration", _INT, "days from carrier to customer"),
     ("total_duration", _INT, "days from purchase to customer"),
-))
+), by_month=True)
 
 FACT_PAYMENT = Table("fact_payment_di", "payments, one row per payment", ("order_id", "payment_sequential"), (
     ("order_id", _STRING, "order"),
@@ -214,7 +219,7 @@ FACT_PAYMENT = Table("fact_payment_di", "payments, one row per payment", ("order
     ("payment_value", _PRICE, "amount paid"),
     ("payment_attempts", _INT, "highest running number within the order"),
     ("is_installment", _INT, "1 when paid in more than one instalment"),
-))
+), by_month=True)
 
 FACT_REVIEW = Table("fact_review_di", "reviews, one row per review", ("order_id", "review_id"), (
     ("order_id", _STRING, "order"),
@@ -233,7 +238,7 @@ FACT_REVIEW = Table("fact_review_di", "reviews, one row per review", ("order_id"
     ("hours_to_reply", _INT, "hours from review to reply"),
     ("comment_count", _INT, "characters in the text"),
     ("has_comment", _INT, "1 when there is text"),
-))
+), by_month=True)
 
 # --- summaries --------------------------------------------------------------
 
@@ -305,9 +310,48 @@ SUM_STATUS_BY_DATE = Table("sum_order_status_by_date_1d", "order states by day",
     ("unavailable_rate", _RATE, "orders out of stock"),
 ))
 
-FIRST_PURCHASE = Table("first_purchase_1d", "first day of the customers a load has orders of", ("customer_id",), (
+FIRST_PURCHASE = Table("first_purchase_1d", "first day of the customers whose orders a load found changed", ("customer_id",), (
     ("customer_id", _STRING, "customer as known to the order"),
-    ("first_day", T.DateType(), "first day of purchase in the load"),
+    ("first_day", T.DateType(), "first day of purchase; null where no order is left"),
+), bucketed_by="customer_id")
+
+# --- what loads remember ----------------------------------------------------
+
+_ORDER_STATE = (
+    ("customer_id", _STRING, "customer"),
+    ("day", T.DateType(), "day of purchase, within the days loaded"),
+    ("first_review", T.DateType(), "first day a review was asked for, within the days loaded"),
+    ("last_review", T.DateType(), "last such day"),
+    ("in_fact", T.BooleanType(), "the order fact has rows of it"),
+)
+
+ORDER_STATE = Table("order_state_1d", "orders that a load found new, changed or gone, with all rows that belong to them", ("order_id",), (
+    ("order_id", _STRING, "order"),
+    *_ORDER_STATE,
+    ("n_orders", _LONG, "rows of the order itself, 0 once it is gone or where it is unknown"),
+    ("n_items", _LONG, "item rows"),
+    ("n_payments", _LONG, "payment rows"),
+    ("n_reviews", _LONG, "review rows, within the days loaded"),
+    ("print", _LONG, "hash of all these rows"),
+    ("change", _STRING, "inserted, changed, removed, or kept by a full load"),
+    *((f"{name}_before", kind, f"{note}, as the load before had it") for name, kind, note in _ORDER_STATE),
+    ("n_items_before", _LONG, "item rows, as the load before had it"),
+    ("n_payments_before", _LONG, "payment rows, as the load before had it"),
+), bucketed_by="order_id")
+
+#: The same before the customers are known.
+ORDER_CHANGES = replace(ORDER_STATE, name="order_changes_1d", bucketed_by=None)
+
+TOUCHED_DAYS = Table("touched_days_1d", "days whose summaries a load computed anew", ("source", "date_id"), (
+    ("source", _STRING, "orders or reviews"),
+    ("date_id", _STRING, "day"),
+    ("had_rows", T.BooleanType(), "an earlier load may have a row of the day"),
+))
+
+LOADS = Table("load_log_1d", "loads", ("dt",), (
+    ("start", _STRING, "first time loaded"),
+    ("end", _STRING, "first time not loaded"),
+    ("whole", T.BooleanType(), "a full load"),
 ))
 
 # --- boards and quality -----------------------------------------------------
@@ -353,3 +397,8 @@ QUALITY_DUPLICATES = Table("quality_duplicate_keys_1d", "repeated keys", ("table
     ("key_value", _STRING, "key columns joined by |, null as \\N"),
     ("n_rows", _LONG, "rows with the key"),
 ))
+
+DUPLICATE_STATE = Table("duplicate_state_1d", "repeated keys of the orders that a load found changed", ("table_name", "key_value"), (
+    ("order_id", _STRING, "order"),
+    *QUALITY_DUPLICATES.columns,
+))

@@ -122,6 +122,24 @@ TRANSLATION_COLUMNS = {
 }
 
 
+_ID = "cast(order_id as bigint)"
+
+#: Two states of the sources that differ in every way: rows only there (``where``), columns that changed (``columns``).
+#: Payments of some orders have no running number, so that their keys are NULL and repeat.
+STATES = {
+    "before": {
+        "orders": (f"{_ID} % 9 <> 0", {"order_status": f"case when {_ID} % 7 = 0 then 'approved' else order_status end"}),
+        "items": (f"{_ID} % 9 <> 0 and ({_ID} % 10 <> 1 or order_item_id < 3)", {"price": f"cast(case when {_ID} % 13 = 0 then price + 1 else price end as decimal(10,2))"}),
+        "payments": (f"{_ID} % 9 <> 0 and ({_ID} % 5 <> 2 or payment_sequential < 2)", {"payment_sequential": f"case when {_ID} % 19 = 0 then null else payment_sequential end"}),
+    },
+    "now": {
+        "orders": (f"{_ID} % 17 <> 0", {}),
+        "items": (f"{_ID} % 17 <> 0", {}),
+        "payments": (f"{_ID} % 17 <> 0", {"payment_sequential": f"case when {_ID} % 19 = 0 then null else payment_sequential end"}),
+    },
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The schema is given, so no job runs to look it up in the files."""
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -158,3 +176,14 @@ def raw_sql(name: str) -> str:
     joins = "".join(f" join {other} on {condition}" for other, condition in others)
     columns = ", ".join(f"{COLUMNS[name][column]} as {column}" for column in RAW[name].names)
     return f"select {columns} from {first}{joins}"
+
+
+def state(spark: SparkSession, sf_dir: str, when: str, name: str) -> DataFrame:
+    """A raw table in one of the ``STATES``."""
+    where, columns = STATES[when][name]
+    return raw(spark, sf_dir, name).where(where).selectExpr(*[f"{columns.get(c, c)} as {c}" for c in RAW[name].names])
+
+
+def state_sql(when: str, name: str) -> str:
+    where, columns = STATES[when][name]
+    return f"select {', '.join(f'{columns.get(c, c)} as {c}' for c in RAW[name].names)} from ({raw_sql(name)}) where {where}"
