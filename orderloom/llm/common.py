@@ -43,6 +43,14 @@ class Scratch:
             self.remove()
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or where a column bears it the name with as many underscores after it as make it free."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(doc_id: Column, n: int = 5) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

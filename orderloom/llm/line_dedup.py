@@ -1,39 +1,41 @@
 """Repeated lines dropped from documents, found by two Bloom filters.
 
-1. Each task hashes the keys of its documents' lines and passes every distinct
-   hash on, once per batch and marked if the batch had it more than once. The
-   hashes (8 bytes a line, no text) are dealt to shards.
-2. A shard runs its hashes through two Bloom filters: one of hashes seen, one
-   of hashes seen again. The second has every repeated hash, and few others. It
-   is folded in half for as long as it stays sparse.
-3. A second scan tests the lines against the shards' second filters. Only
-   suspected repeats are shuffled, as SHA-256 of the key, for the exact count of
-   their documents and the choice of the one that keeps them.
-
-The filters are broadcast only if they have at most ``MOST_FILTER_BYTES``
-together. If they have more, every long line counts as suspected: more to
-shuffle, same result.
+1. One scan of the texts takes the first 16 bytes of the SHA-256 of every line's
+   key, once for each document (24 bytes a line, no text). The first 8 are its
+   hash, which deals it to a shard.
+2. Each task passes the distinct hashes of a batch on, marked if the batch had
+   them more than once. A shard runs them through two Bloom filters: one of
+   hashes seen, one of hashes seen again. The second has every repeated hash, and
+   few others. It is folded in half for as long as it stays sparse.
+3. The lines meet the second filter of their shard. A task reads the filter
+   first and the shard's lines after it, as a stream; a shard of more lines than
+   ``most_lines`` is dealt to several tasks, each with a copy of the filter. No
+   filter is broadcast.
+4. Only suspected repeats are shuffled again, for the exact count of their
+   documents and the choice of the one that keeps them.
 
 A line's key is the line without ASCII white space at its ends, A-Z in lower
 case. Null and empty texts are one empty line. Rows that share a document id
 count as one document; a null id counts as one document below all others. An
-empty table gives no rows. Other columns pass unchanged.
+empty table gives no rows. Other columns pass unchanged. A text is one value in
+a task, where its lines are held at once, so it should stay below some hundred
+MB.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import Scratch
+from orderloom.llm.common import Scratch, free
 from orderloom.llm.tokens import slices
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -41,7 +43,6 @@ PROBES = 4
 BITS_PER_HASH = 16
 #: Several shards to a task, so that hashing their numbers spreads them evenly.
 HASHES_PER_SHARD, HASHES_PER_TASK = 1 << 17, 1 << 20
-MOST_FILTER_BYTES = 64 << 20
 
 
 def keys(text: str | None, least: int) -> set[bytes]:
@@ -50,8 +51,9 @@ def keys(text: str | None, least: int) -> set[bytes]:
     return {k.encode().lower() for k in stripped if len(k) >= least}
 
 
-def _hash(key: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(key)
+def digest(key: bytes) -> tuple[int, int]:
+    """The first 16 bytes of the SHA-256, as the hash that deals the line and the rest."""
+    return struct.unpack_from("<qq", hashlib.sha256(key).digest())
 
 
 def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -90,17 +92,24 @@ class Bloom:
         return out
 
 
-def _hashes(least: int):
+def _lines(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(pc.binary_length(batch.column(0)).fill_null(0).to_pylist(), 16 << 20):
-                found = [_hash(k) for text in batch.column(0).slice(a, b - a).to_pylist() for k in keys(text, least)]
-                hashes, times = np.unique(np.array(found, np.uint64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times > 1)], names=["hash", "again"])
+            for a, b in slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), 16 << 20):
+                found = [[digest(k) for k in keys(text, least)] for text in batch.column(1).slice(a, b - a).to_pylist()]
+                row = np.repeat(np.arange(a, b), [len(x) for x in found])
+                both = np.array([d for x in found for d in x], np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["id", "hash", "rest"])
 
     return run
 
 
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes, times = np.unique(batch.column(0).to_numpy(), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(times > 1)], names=["hash", "again"])
+
+
 def _filters(shards: int, log_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once: dict[int, Bloom] = {}
@@ -119,36 +128,33 @@ def _filters(shards: int, log_bits: int):
     return run
 
 
-def _suspects(least: int, shards: int, filters):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        second = filters and {s: Bloom(n, np.frombuffer(bits, np.uint8)) for s, n, bits in filters.value}
-        for batch in batches:
-            for a, b in slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), 16 << 20):
-                found = [keys(text, least) for text in batch.column(1).slice(a, b - a).to_pylist()]
-                row = np.repeat(np.arange(a, b), [len(x) for x in found])
-                flat = [k for x in found for k in x]
-                if second is not None:
-                    hashes = np.array([_hash(k) for k in flat], np.uint64)
-                    shard, repeated = hashes.view(np.int64) % shards, np.zeros(len(hashes), bool)  # as pmod() deals them
-                    for s, mine in by_shard(shard):
-                        if s in second:
-                            repeated[mine] = second[s].has(hashes[mine])
-                    row, flat = row[repeated], [flat[i] for i in np.flatnonzero(repeated)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array([hashlib.sha256(k).digest() for k in flat], pa.binary())], names=["id", "digest"])
-
-    return run
-
-
-def _rewrite(text_at: int, drop_at: int, least: int):
-    def one(text: str | None, drop: list[bytes] | None) -> tuple[str, int, int]:
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of each shard and part, the filter first, the lines that the filter holds."""
+    at, second = None, None
+    for batch in batches:
+        shard, part, filled = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+        change = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (part[1:] != part[:-1])])[: len(shard)])
+        for a, b in zip(change.tolist(), [*change[1:].tolist(), len(shard)], strict=True):
+            if (here := (shard[a], part[a])) != at:
+                at, second = here, None
+            if filled[a]:
+                second = Bloom(batch.column(2)[a].as_py(), np.frombuffer(batch.column(3)[a].as_py(), np.uint8))
+                a += 1
+            if second is not None and a < b:
+                mine = batch.slice(a, b - a)
+                yield mine.select(["id", "hash", "rest"]).filter(pa.array(second.has(mine.column("hash").to_numpy().view(np.uint64))))
+
+
+def _rewrite(text_at: int, drop_at: int, least: int, counts: tuple[str, str]):
+    def one(text: str | None, drop: list[dict] | None) -> tuple[str, int, int]:
         lines = (text or "").split("\n")
         if not drop:
             return text or "", len(lines), 0
-        gone = set(drop)
+        gone = {(d["hash"], d["rest"]) for d in drop}
 
         def stays(line: str) -> bool:
             key = line.strip(SPACE)
-            return len(key) < least or hashlib.sha256(key.encode().lower()).digest() not in gone
+            return len(key) < least or digest(key.encode().lower()) not in gone
 
         kept = [line for line in lines if stays(line)]
         return "\n".join(kept), len(lines), len(lines) - len(kept)
@@ -161,37 +167,48 @@ def _rewrite(text_at: int, drop_at: int, least: int):
                 columns = [c for i, c in enumerate(batch.columns) if i != drop_at]
                 columns[text_at] = pa.array(texts, pa.string())
                 names = [n for i, n in enumerate(batch.schema.names) if i != drop_at]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, LINES, DROPPED])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, *counts])
 
     return run
 
 
-#: Columns the result has besides those of the documents.
+#: Columns the result has besides those of the documents; where these have them already, ``free`` gives their names.
 LINES, DROPPED = "__n_lines", "__n_dropped"
 
 
-def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", most_filter_bytes: int = MOST_FILTER_BYTES) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", most_lines: int = HASHES_PER_TASK) -> DataFrame:
     """The documents, with lines whose key of ``least_chars`` or more stands in ``least_docs`` or more
     documents left in the document of the largest id alone; and the counts of lines and of dropped lines.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     kind = docs.schema[id_col].dataType
-    hashes = scratch.keep(docs.select(text_col).mapInArrow(_hashes(least_chars), "hash long, again boolean"), "hashes")
-    n = hashes.count()
-    shards = -(-n // HASHES_PER_SHARD) or 1
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    line = T.StructType([T.StructField("id", kind), T.StructField("hash", T.LongType()), T.StructField("rest", T.LongType())])
+    lines = scratch.keep(texts.mapInArrow(_lines(least_chars), line), "lines")
+    n = lines.count()
+    shards, tasks = -(-n // HASHES_PER_SHARD) or 1, -(-n // HASHES_PER_TASK) or 1
     log_bits = max(13, int(np.ceil(np.log2(max(1, n / shards) * BITS_PER_HASH))))
-    dealt = hashes.withColumn("shard", F.pmod("hash", F.lit(shards).cast("long"))).repartition(-(-n // HASHES_PER_TASK) or 1, "shard")
+    shard = F.pmod("hash", F.lit(shards).cast("long")).alias("shard")
+    dealt = lines.select("hash").mapInArrow(_hashes, "hash long, again boolean").select("hash", "again", shard).repartition(tasks, "shard")
     filters = scratch.keep(dealt.mapInArrow(_filters(shards, log_bits), "shard long, log_bits long, bits binary"), "filters")
-    size = filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
-    held = spark.sparkContext.broadcast([tuple(r) for r in filters.collect()]) if size <= most_filter_bytes else None
-
-    schema = T.StructType([T.StructField("id", kind), T.StructField("digest", T.BinaryType())])
-    suspects = scratch.keep(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_suspects(least_chars, shards, held), schema), "suspects")
-    in_docs = suspects.groupBy("digest", "id").agg(F.lit(1).alias("one"))
-    repeated = scratch.keep(in_docs.groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= least_docs), "repeated")
-    drops = suspects.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("digest").alias("__drop"))
-
-    both = docs.alias("d").join(drops.alias("x"), F.col(f"d.{id_col}").eqNullSafe(F.col("x.id")), "left").select("d.*", "x.__drop")
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema.fields), T.StructField(LINES, T.LongType()), T.StructField(DROPPED, T.LongType())])
-    return both.mapInArrow(_rewrite(docs.columns.index(text_col), len(docs.columns), least_chars), schema)
+    suspects = scratch.keep(_met(lines.select("*", shard), filters, tasks, most_lines).mapInArrow(_suspects, line), "suspects")
+
+    in_docs = suspects.groupBy("hash", "rest", "id").agg(F.lit(1).alias("one"))
+    repeated = scratch.keep(in_docs.groupBy("hash", "rest").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= least_docs), "repeated")
+    drops = suspects.join(repeated, ["hash", "rest"]).where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set(F.struct("hash", "rest")).alias("drop"))
+
+    drop, counts = free("__drop", docs.columns), (free(LINES, docs.columns), free(DROPPED, docs.columns))
+    both = docs.alias("d").join(drops.alias("x"), F.col(f"d.{id_col}").eqNullSafe(F.col("x.id")), "left").select("d.*", F.col("x.drop").alias(drop))
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema.fields), *(T.StructField(c, T.LongType()) for c in counts)])
+    return both.mapInArrow(_rewrite(docs.columns.index(text_col), len(docs.columns), least_chars, counts), schema)
+
+
+def _met(lines: DataFrame, filters: DataFrame, tasks: int, most_lines: int) -> DataFrame:
+    """Lines and filters dealt by shard, a large shard in parts of ``most_lines``; each part has its filter before its lines."""
+    large = lines.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > most_lines).select("shard", F.ceil(F.col("n") / most_lines).alias("parts"))
+    spread = F.pmod(F.xxhash64("id", "rest"), F.coalesce("parts", F.lit(1).cast("long")))
+    rows = lines.join(large, "shard", "left").select("shard", spread.alias("part"), F.lit(None).cast("long").alias("log_bits"), F.lit(None).cast("binary").alias("bits"), "id", "hash", "rest")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1))
+    none = [F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in ("id", "hash", "rest")]
+    copies = filters.join(large, "shard", "left").select("shard", every.alias("part"), "log_bits", "bits", *none)
+    return copies.unionByName(rows).repartition(tasks, "shard", "part").sortWithinPartitions("shard", "part", F.col("log_bits").asc_nulls_last())

@@ -14,6 +14,7 @@ ranges of the order, and only the range that the target falls into is sorted.
 Null and empty texts have size 0. Null sources are one source, the last. Null
 ids are ordered as empty text. Rows that share an id and a source are taken
 together. Sources without words get target 0. An empty table gives no rows.
+Further columns pass unchanged.
 """
 
 from __future__ import annotations
@@ -21,12 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WORD, Scratch, offsets_by_part, text_of
+from orderloom.llm.common import WORD, Scratch, free, offsets_by_part, text_of
 
 SEED = 7
 WEIGHTS = (5, 2, 1)
-#: Plans of more sources are joined by shuffle. A row of the plan is small.
-MOST_SOURCES_TO_BROADCAST = 50_000
+PLAN = "__plan"
 
 
 def place(id_col: str, seed: int) -> Column:
@@ -84,11 +84,10 @@ def plan(sized: DataFrame, weights: tuple[float, ...], most_epochs: float, scrat
 
 
 def _with_plan(rows: DataFrame, made: DataFrame, source: str) -> DataFrame:
-    """Rows with the plan of their source; a few sources are broadcast, as one of them may hold a third of all rows."""
-    made = made.select([F.col(c).alias(f"__{c}") for c in made.columns])
-    if made.count() <= MOST_SOURCES_TO_BROADCAST:
-        made = F.broadcast(made)
-    return rows.join(made, F.col(source).eqNullSafe(F.col("__source")))
+    """Rows with the plan of their source as column ``plan``. The plan is stored, so Spark knows its size and broadcasts it
+    if it is small; else adaptive execution splits the rows of a source that holds a third of them."""
+    made = made.select(F.struct(*made.columns).alias(free(PLAN, rows.columns)), F.col("source").alias(free("__of", rows.columns)))
+    return rows.join(made, F.col(source).eqNullSafe(F.col(free("__of", rows.columns))))
 
 
 def sizes(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -101,14 +100,15 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_epochs: fl
     scratch = Scratch(docs.sparkSession)
     sized = scratch.keep(sizes(docs, seed, id_col, text_col, source_col), "sized")
     rows = _with_plan(sized, plan(sized, weights, most_epochs, scratch), "source")
-    times = F.col("__whole") + (F.col("place") <= F.col("__last")).cast("long")
-    return rows.select("id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), times.alias("times"))
+    times = F.col(PLAN)["whole"] + (F.col("place") <= F.col(PLAN)["last"]).cast("long")
+    return rows.select("id", "size", F.col(PLAN)["source_size"].alias("source_size"), F.col(PLAN)["target"].alias("target"), times.alias("times"))
 
 
 def repeated(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_epochs: float = 3.0, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: every document as many times as it is taken, columns unchanged."""
     scratch = Scratch(docs.sparkSession)
     made = plan(scratch.keep(sizes(docs, seed, id_col, text_col, source_col), "sized"), weights, most_epochs, scratch)
-    rows = _with_plan(docs.withColumn("__place", place(id_col, seed)), made, source_col)
-    times = (F.col("__whole") + (F.col("__place") <= F.col("__last")).cast("long")).cast("int")
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = F.col(free(PLAN, docs.columns))
+    times = (taken["whole"] + (place(id_col, seed) <= taken["last"]).cast("long")).cast("int")
+    copies = _with_plan(docs, made, source_col).withColumn(free("__copy", docs.columns), F.explode(F.array_repeat(F.lit(1), times)))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import Scratch
+from orderloom.llm.common import Scratch, free
 from orderloom.llm.tokens import slices
 
 MOST_LABELLED = 20_000
@@ -173,5 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most
 
 
 def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
-    """The documents with the column ``SCORE``, 0 to 1."""
-    return with_statistics(docs, text_col).withColumn(SCORE, model.score()).drop(STATS)
+    """The documents with the column ``SCORE``, 0 to 1; where they have one of that name, ``free`` gives the name."""
+    own = {c: free(f"kept{c}", docs.columns) for c in docs.columns if c.lower() in (SCORE, STATS)}
+    found = with_statistics(docs.withColumnsRenamed(own), text_col).withColumn(SCORE, model.score()).drop(STATS)
+    return found.withColumnsRenamed({SCORE: free(SCORE, docs.columns)}).withColumnsRenamed({new: old for old, new in own.items()})

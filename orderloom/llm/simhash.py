@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import Scratch
+from orderloom.llm.common import Scratch, free
 from orderloom.llm.components import components, forest
 from orderloom.llm.tokens import slices
 
@@ -163,13 +163,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     return found.join(named, "fp").select("id", "fp", "component_id")
 
 
-def _with_fingerprints(shingle: int, place: int):
+def _with_fingerprints(shingle: int, place: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a, b in slices(pc.binary_length(whole.column(place)).fill_null(0).to_pylist(), 16 << 20):
                 batch = whole.slice(a, b - a)
                 found = np.array([fingerprint(t, shingle) for t in batch.column(place).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *batch.columns], names=[FP, *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *batch.columns], names=[name, *batch.schema.names])
 
     return run
 
@@ -177,13 +177,14 @@ def _with_fingerprints(shingle: int, place: int):
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document of the smallest id of each component, null ids last. Of its rows that share that id, the one whose text sorts first."""
     scratch = Scratch(docs.sparkSession)
-    schema = T.StructType([T.StructField(FP, T.LongType()), *docs.schema.fields])
-    rows = docs.mapInArrow(_with_fingerprints(shingle, docs.columns.index(text_col)), schema)
+    name = free(FP, docs.columns)
+    schema = T.StructType([T.StructField(name, T.LongType()), *docs.schema.fields])
+    rows = docs.mapInArrow(_with_fingerprints(shingle, docs.columns.index(text_col), name), schema)
 
     def first(row: str) -> Column:
         i = F.col(row)[id_col]
         return F.min_by(row, F.struct(i.isNull(), i, F.coalesce(F.col(row)[text_col], F.lit("")))).alias("row")
 
-    whole = rows.select(F.col(FP).alias("fp"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = rows.select(F.col(name).alias("fp"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     distinct = scratch.keep(whole.groupBy("fp").agg(first("row")), "distinct")
     return _rooted(distinct, max_bits, scratch).groupBy("root").agg(first("row")).select("row.*")

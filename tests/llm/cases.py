@@ -36,7 +36,8 @@ DOCS = [
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
 #: Names that operators use inside.
-CLASHING = ["id", "n", "hash", "fp", "ids", "part", "size", "place", "chunk", "n_lines", "label", "cls", "component", "v"]
+CLASHING = ["id", "n", "hash", "fp", "ids", "part", "size", "place", "chunk", "n_lines", "label", "cls", "component", "v",
+            "__plan", "__of", "__copy", "__score", "__stats", "__fp", "__drop", "__n_lines", "__n_dropped", "kept__score"]
 
 
 def documents(spark, rows=DOCS):

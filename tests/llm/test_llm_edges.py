@@ -1,17 +1,18 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing columns and an empty table."""
 
 import pytest
-from cases import DOCS, documents, rows, with_more_columns
+from cases import CLASHING, DOCS, documents, rows, with_more_columns
 from pyspark.sql import functions as F
 
 from orderloom.llm import embedding_dedup, filter_audit, importance, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, rule_cascade, simhash, suffix_dedup, token_files
+from orderloom.llm.common import free
 from orderloom.llm.queries import tokenizer_path
 
 MODEL = quality_classifier.RuleEnsemble(0.5, (((quality_classifier.Split(0, True, 2.0),), 1.5),))
 KEPT = ["doc_id", "text", "source"]
 
 OPERATORS = {
-    "classifier": lambda d: quality_classifier.scored(d, MODEL).select(*KEPT, quality_classifier.SCORE),
+    "classifier": lambda d: quality_classifier.scored(d, MODEL).select(*KEPT, free(quality_classifier.SCORE, d.columns)),
     "licences": license_scan.scan,
     "packing": lambda d: packing.pieces(d, tokenizer_path()).groupBy("id").agg(F.sum("length")),
     "lm": lambda d: lm_scoring.scored(d, F.col("doc_id") % 3 != 0).withColumns({c: F.round(c, 3) for c in ("base_score", "score")}),
@@ -20,7 +21,7 @@ OPERATORS = {
     "mixing_rows": lambda d: mixing.repeated(d).select(*KEPT),
     "simhash": simhash.near_duplicates,
     "simhash_rows": lambda d: simhash.keep_one(d).select(*KEPT),
-    "lines": lambda d: line_dedup.drop_repeated_lines(d).select(*KEPT, line_dedup.LINES, line_dedup.DROPPED),
+    "lines": lambda d: line_dedup.drop_repeated_lines(d).select(*KEPT, free(line_dedup.LINES, d.columns), free(line_dedup.DROPPED, d.columns)),
     "files": lambda d: token_files.read(token_files.write(d, tokenizer_path()), d.schema["doc_id"].dataType),
     "audit": lambda d: filter_audit.failures(d, part_col="source"),
     "repeats": lambda d: suffix_dedup.cut_repeats(d, 40),
@@ -41,15 +42,16 @@ def test_more_columns_change_nothing_and_an_empty_table_gives_no_rows(spark, nam
 @pytest.mark.parametrize("name", ["classifier", "mixing_rows", "simhash_rows", "lines"])
 def test_stages_keep_the_further_columns(spark, name):
     run = {
-        "classifier": lambda d: quality_classifier.scored(d, MODEL).drop(quality_classifier.SCORE),
+        "classifier": lambda d: quality_classifier.scored(d, MODEL).drop(free(quality_classifier.SCORE, d.columns)),
         "mixing_rows": mixing.repeated,
         "simhash_rows": simhash.keep_one,
-        "lines": lambda d: line_dedup.drop_repeated_lines(d).drop(line_dedup.LINES, line_dedup.DROPPED),
+        "lines": lambda d: line_dedup.drop_repeated_lines(d).drop(free(line_dedup.LINES, d.columns), free(line_dedup.DROPPED, d.columns)),
     }[name]
     docs = with_more_columns(documents(spark))
     out = run(docs)
     assert out.columns == docs.columns
-    assert {r.chunk for r in out.collect()} == {"more chunk"}
+    found = out.select(*CLASHING).distinct().collect()
+    assert [tuple(r) for r in found] == [tuple(f"more {c}" for c in CLASHING)]
 
 
 def test_only_unusable_rows(spark):

@@ -288,15 +288,33 @@ def plain_lines(docs, least_chars=40, least_docs=5):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("most", [line_dedup.MOST_FILTER_BYTES, 0])
-def test_lines_with_and_without_filters(spark, most):
-    docs = [*DOCS, *((100 + i, f"{prose(i)}\n" + "\n".join(f"{LINE} {k}" for k in range(i)), "z") for i in range(12))]
-    found = line_dedup.drop_repeated_lines(documents(spark, docs), most_filter_bytes=most).select("doc_id", "text", line_dedup.LINES, line_dedup.DROPPED)
+REPEATING = [*DOCS, *((100 + i, f"{prose(i)}\n" + "\n".join(f"{LINE} {k}" for k in range(i)), "z") for i in range(12))]
+
+
+@pytest.mark.parametrize("most", [line_dedup.HASHES_PER_TASK, 3])
+def test_lines_equal_a_plain_count(spark, most):
+    """With three lines to a part, the shard is dealt to many tasks."""
+    found = line_dedup.drop_repeated_lines(documents(spark, REPEATING), most_lines=most).select("doc_id", "text", line_dedup.LINES, line_dedup.DROPPED)
     found = sorted(map(tuple, found.collect()), key=repr)
-    assert found == plain_lines(docs)
+    assert found == plain_lines(REPEATING)
     assert sum(r[3] for r in found) > 5
 
 
+def test_only_suspected_repeats_move_on(spark, monkeypatch):
+    """However many shards there are, and so however large their filters are together."""
+    monkeypatch.setattr(line_dedup, "HASHES_PER_SHARD", 50)
+    rng = np.random.default_rng(3)
+    lines = [f"line {n} of documents that all differ from each other" for n in range(3_000)]
+    docs = [(i, "\n".join([*lines[i * 30 : i * 30 + 30], *(LINE for _ in range(2) if i % 2)]), "a") for i in rng.permutation(100).tolist()]
+    kept = {}
+    keep = line_dedup.Scratch.keep
+    monkeypatch.setattr(line_dedup.Scratch, "keep", lambda self, rows, name: kept.setdefault(name, keep(self, rows, name)))
+    found = line_dedup.drop_repeated_lines(documents(spark, docs), most_lines=20).select("doc_id", "text", line_dedup.LINES, line_dedup.DROPPED)
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_lines(docs)
+    assert kept["filters"].count() > 50 and kept["lines"].count() == 3_050
+    assert 50 <= kept["suspects"].count() < 300
+
+
 def test_bloom_filters_never_miss_a_repeat():
     rng = np.random.default_rng(5)
     hashes = rng.integers(0, 2**63, 20_000).astype(np.uint64)
