@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import line_dedup, mixing, packing, quality_classifier, simhash
-from orderloom.llm.common import Scratch, remainder
+from orderloom.llm.common import Scratch, free, remainder
 from orderloom.llm.queries import QUALITY_LIMIT, tokenizer_path
 
 
@@ -24,13 +24,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents the classifier rejects go. It learns from the labelled documents whose ids are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.train(docs, labels, remainder(F.col("doc_id")) != 0)
-    return quality_classifier.scored(docs, model).where(F.col(quality_classifier.SCORE) >= QUALITY_LIMIT).drop(quality_classifier.SCORE)
+    score = free(quality_classifier.SCORE, docs.columns)
+    return quality_classifier.scored(docs, model).where(F.col(score) >= QUALITY_LIMIT).drop(score)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 40 code points or more found in five documents or more stay in one of them. The count of characters follows the text."""
     rows = line_dedup.drop_repeated_lines(docs, least_chars=40, least_docs=5)
-    rows = rows.drop(line_dedup.LINES, line_dedup.DROPPED)
+    rows = rows.drop(free(line_dedup.LINES, docs.columns), free(line_dedup.DROPPED, docs.columns))
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
