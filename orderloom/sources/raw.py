@@ -10,34 +10,18 @@ from pyspark.sql import types as T
 
 from orderloom.params import LoadWindow
 from orderloom.schemas import Table
-
-
-#: The largest file with line breaks inside fields that is read; such a file is not split.
-MOST_BYTES_IN_ONE_TASK = 1 << 30
-
-
-def _refuse_large_files(spark: SparkSession, path: str) -> None:
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(top, True)
-    while files.hasNext():
-        file = files.next()
-        if file.getLen() > MOST_BYTES_IN_ONE_TASK:
-            raise ValueError(f"{file.getPath().toString()} has {file.getLen()} bytes and would be read by one task")
+from orderloom.sources import quoted
 
 
 def csv(spark: SparkSession, path: str, table: Table, line_breaks: bool = False) -> DataFrame:
     """A file with header, which must name the declared columns in order; doubled quotes stand for one.
 
-    ``line_breaks`` is for text that spans lines, as review comments do. Spark
-    reads such a file in one task, so a large table of that kind must come as
-    many files (or in another format): a file of more than
-    ``MOST_BYTES_IN_ONE_TASK`` is refused.
+    ``line_breaks`` is for text that spans lines, as review comments do: Spark
+    alone reads such a file in one task, ``quoted`` reads it split by split.
     """
     if line_breaks:
-        _refuse_large_files(spark, path)
-    return spark.read.csv(
-        path, schema=table.schema, header=True, enforceSchema=False, multiLine=line_breaks, escape='"', mode="FAILFAST"
-    )
+        return quoted.read(spark, path, table)
+    return spark.read.csv(path, schema=table.schema, header=True, enforceSchema=False, escape='"', mode="FAILFAST")
 
 
 def headerless_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:

@@ -1,5 +1,9 @@
 """Raw readers, dated tables and load modes."""
 
+import csv
+import io
+import random
+
 import pytest
 import shop
 from pyspark.sql import functions as F
@@ -61,12 +65,40 @@ def test_a_table_that_only_ever_got_empty_days_can_be_read(spark, store):
     assert store.has(s.ORDERS) and store.read(s.ORDERS).count() == 0
 
 
-def test_large_files_with_line_breaks_are_refused(spark, tmp_path, monkeypatch):
-    (tmp_path / "x.csv").write_text(",".join(s.TRANSLATION.names) + "\na,b\n")
-    assert raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True).count() == 1
-    monkeypatch.setattr(raw, "MOST_BYTES_IN_ONE_TASK", 10)
-    with pytest.raises(ValueError, match="one task"):
-        raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True)
+def _random_reviews(rng, n):
+    """Reviews whose texts hold line breaks, quotes and commas, as a CSV writer puts them."""
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=rng.choice(("\n", "\r\n")))
+    writer.writerow(s.REVIEWS.names)
+    for k in range(n):
+        text = "".join(rng.choice(['"', "\n", ",", "a", "é", " ", "\n\n", '""', "word"]) for _ in range(rng.choice((0, 3, 40, 400))))
+        writer.writerow([f"r{k}", f"o{k % 7}", rng.choice(("", 1, 5)), rng.choice(("", "title", 'a "title"\n')), text, "2020-01-05 10:11:12", rng.choice(("", "2020-01-06 00:00:00"))])
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("split", [64, 1_000, 1 << 20])
+def test_quoted_line_breaks_are_read_in_parallel(spark, tmp_path, split):
+    """Equal rows to the read in one task, however the splits cut through records."""
+    rng, schema = random.Random(split), s.REVIEWS.schema
+    for n, rows in enumerate((60, 1, 0, 25)):
+        (tmp_path / f"{n}.csv").write_bytes(_random_reviews(rng, rows).encode())
+    path = str(tmp_path)
+    whole = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', mode="FAILFAST")
+    for key, value in {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}.items():
+        spark.conf.set(key, value)
+    try:
+        found = raw.csv(spark, path, s.REVIEWS, line_breaks=True)
+        assert found.schema.simpleString() == schema.simpleString()
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_other_columns_in_a_file_with_line_breaks_raise(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('"category_name_pt","other"\n"a\nb",c\n')
+    with pytest.raises(Exception, match="has columns"):
+        raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True).collect()
 
 
 def test_database_rows_get_the_declared_types(monkeypatch, spark):
