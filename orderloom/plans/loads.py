@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas as s
 from orderloom.functions import columns as c
-from orderloom.operators import boards, changes, dims, facts, ods, quality, summaries
+from orderloom.operators import boards, changes, dims, facts, history, ods, quality, summaries
 from orderloom.params import LoadWindow, Select
 from orderloom.sources.tables import Store
 
@@ -149,10 +149,18 @@ def full_load(store: Store, sources: Mapping[str, DataFrame], window: LoadWindow
         store.overwrite(table, rows, dt)
     _by_key(store, fact, select, dt, None)
     store.overwrite(s.QUALITY_RULES, quality.rules_report(raw["orders"], raw["items"], raw["payments"], raw["reviews"]), dt)
+    _rejected(store, raw, dt)
     _duplicates(store, raw, store.read(s.ORDER_CHANGES, dt), dt, oldest)
     _boards(store, dt)
 
 
+def _rejected(store: Store, raw: Mapping[str, DataFrame], dt: str) -> None:
+    """Keep the rows that no fact takes with the rules they break: of all rows by a full load, of the changed orders and of no order by a daily one."""
+    for name, table in s.REJECTED.items():
+        _, rejected = quality.split(raw[name], name)
+        store.overwrite(table, rejected, dt)
+
+
 def _known_before(store: Store, before: str | None) -> DataFrame:
     if before is None or not store.has(s.ORDER_STATE):
         return store.spark.createDataFrame([], s.ORDER_STATE.stored)
@@ -292,6 +300,7 @@ def daily_load(
 
     new = store.read(s.FACT_ORDER, dt).where(window.holds(facts.PURCHASE))
     _by_key(store, new, Select.partition(dt), dt, customers)
+    _rejected(store, {name: rows.drop("dt").unionByName(s.RAW[name].conform(raw[name].where(F.col("order_id").isNull()))) for name, rows in taken.items()}, dt)
     rules = quality.rules_report(raw["orders"], raw["items"], raw["payments"], raw["reviews"])
     late = [quality.late_rows(changed, name) for name in ("payments", "items")]
     store.overwrite(s.QUALITY_RULES, reduce(DataFrame.unionByName, late, rules), dt)
@@ -299,6 +308,12 @@ def daily_load(
     _boards(store, dt)
 
 
+def keep_as_intervals(store: Store, table: s.Table, days: Collection[str]) -> None:
+    """The snapshots of these days as intervals, from which ``history.as_of`` reads any of them; the copies can then go."""
+    rows = store.read(table).where(F.col("dt").isin(*days))
+    store.replace(history.history_of(table), history.intervals(rows, table, days))
+
+
 def latest_facts(store: Store, table: s.Table, dt: str) -> DataFrame:
     """All rows of a fact that are true after the load of ``dt``."""
     oldest = store.read(s.LOADS).agg(F.min("dt")).first()[0]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas as s
 from orderloom.params import LoadWindow
-from orderloom.plans.queries import DAY, EARLIER_DT, FULL, LATER_DT, MONTH
+from orderloom.plans.queries import DAY, EARLIER_DT, FULL, LATER_DT, MONTH, SNAPSHOTS
 from orderloom.schemas import Table
 from orderloom.sources.bindings import TRANSLATION_COLUMNS, UNTRANSLATED, raw_sql, state_sql
 
@@ -601,3 +601,22 @@ ORACLES["late_rows"] = _with(
     "(select * from now_payments union all select * from now_payments where cast(order_id as bigint) % 23 = 0)"
     " except all select * from before_payments)",
 )
+
+
+def _snapshot_intervals(days: list[str]) -> str:
+    """A copy of a row begins on a day whose day before lacks it, and ends at the next day that lacks it."""
+    columns = ", ".join(s.PAYMENTS.names)
+    every = " union all ".join(f"select *, {n} as d from {SNAPSHOTS[dt]}_payments" for n, dt in enumerate(days))
+    at = f"[{', '.join(repr(dt) for dt in days)}]"
+    parts = {
+        "copies": f"select *, row_number() over (partition by {columns}, d) as k from ({every})",
+        "seen": f"select {columns}, k, list(d) as ds from copies group by {columns}, k",
+        "begun": f"select *, unnest(list_filter(ds, lambda d: not list_contains(ds, d - 1))) as d from seen",
+    }
+    gone = f"list_min(list_filter(range({len(days)}), lambda e: e > d and not list_contains(ds, e)))"
+    shown = columns.replace("payment_value", "cast(payment_value as double) as payment_value")
+    return _with(_states("payments") | parts, f"select {shown}, {at}[d + 1] as valid_from, {at}[{gone} + 1] as valid_to from begun")
+
+
+ORACLES["snapshot_intervals"] = _snapshot_intervals(sorted(SNAPSHOTS))
+ORACLES["snapshot_as_of"] = _with(_states("payments"), f"select * replace (cast(payment_value as double) as payment_value) from {SNAPSHOTS[EARLIER_DT]}_payments")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas as s
 from orderloom.functions import columns as c
-from orderloom.operators import boards, changes, dims, facts, ods, quality, summaries
+from orderloom.operators import boards, changes, dims, facts, history, ods, quality, summaries
 from orderloom.params import LoadWindow, Select
 from orderloom.sources.bindings import headerless_translation, raw, state
 from orderloom.sources.tables import scratch_store
@@ -506,3 +506,24 @@ def late_rows(spark, sf_dir):
     now = state(spark, sf_dir, "now", "payments")
     twice = now.unionByName(now.where("cast(order_id as bigint) % 23 = 0"))
     return changes.surplus(twice, state(spark, sf_dir, "before", "payments"), s.PAYMENTS)
+
+
+# --- snapshots as intervals -------------------------------------------------
+
+#: Three days of payments: as before, as now, and as before again.
+SNAPSHOTS = {"2001-12-30": "before", EARLIER_DT: "now", LATER_DT: "before"}
+
+
+def _payment_history(spark, sf_dir):
+    days = [state(spark, sf_dir, when, "payments").withColumn("dt", F.lit(dt)) for dt, when in SNAPSHOTS.items()]
+    return history.intervals(reduce(DataFrame.unionByName, days), s.PAYMENTS, list(SNAPSHOTS))
+
+
+@query
+def snapshot_intervals(spark, sf_dir):
+    return _payment_history(spark, sf_dir)
+
+
+@query
+def snapshot_as_of(spark, sf_dir):
+    return history.as_of(_payment_history(spark, sf_dir), s.PAYMENTS, EARLIER_DT)

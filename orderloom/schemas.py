@@ -402,3 +402,10 @@ DUPLICATE_STATE = Table("duplicate_state_1d", "repeated keys of the orders that
     ("order_id", _STRING, "order"),
     *QUALITY_DUPLICATES.columns,
 ))
+
+#: Rows no fact takes, with the rules they break.
+REJECTED = {
+    name: Table(f"rejected_{name}_1d", f"{name} that break a cleaning rule", RAW[name].key,
+                (*RAW[name].columns, ("broken_rules", T.ArrayType(_STRING), "rules the row breaks")))
+    for name in ("orders", "items", "payments", "reviews")
+}

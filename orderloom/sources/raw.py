@@ -46,11 +46,29 @@ def catalog(spark: SparkSession, name: str, table: Table) -> DataFrame:
     return typed(spark.read.table(name), table)
 
 
+def _slices(cuts: list[str], time: str) -> list[str]:
+    return [f"{time} >= '{low}' AND {time} < '{high}'" for low, high in zip(cuts, cuts[1:])]
+
+
 def window_slices(window: LoadWindow, time: str, slices: int) -> list[str]:
     """The window cut into equal half-open ranges, one SQL predicate per parallel read."""
     start, end = datetime.fromisoformat(window.start), datetime.fromisoformat(window.end)
-    cuts = [start + (end - start) * n / slices for n in range(slices)] + [end]
-    return [f"{time} >= '{low}' AND {time} < '{high}'" for low, high in zip(cuts, cuts[1:])]
+    return _slices([str(start + (end - start) * n / slices) for n in range(slices)] + [str(end)], time)
+
+
+def depth_query(table: str, time: str, window: LoadWindow, slices: int) -> str:
+    """Standard SQL for the source: the first time of each of ``slices`` parts that hold equally many rows of the window."""
+    return (
+        f"SELECT part, MIN({time}) AS low FROM (SELECT {time}, NTILE({slices}) OVER (ORDER BY {time}) AS part FROM {table}"
+        f" WHERE {time} >= '{window.start}' AND {time} < '{window.end}') t GROUP BY part"
+    )
+
+
+def depth_slices(window: LoadWindow, time: str, lows: list[datetime]) -> list[str]:
+    """The window cut where the parts begin, so that a day of many sales is read by many tasks. A part that begins
+    at the same time as the one before, as where one instant has the rows of several parts, is read with it."""
+    start, end = datetime.fromisoformat(window.start), datetime.fromisoformat(window.end)
+    return _slices([str(start), *map(str, sorted(set(lows) - {start, min(lows, default=start)})), str(end)], time)
 
 
 def jdbc_window(
@@ -62,7 +80,15 @@ def jdbc_window(
     window: LoadWindow,
     slices: int,
     properties: dict[str, str],
+    equal_depth: bool = False,
 ) -> DataFrame:
-    """The window of a database table, read by ``slices`` tasks that each fetch their own range."""
-    rows = spark.read.jdbc(url, table, predicates=window_slices(window, time, slices), properties=properties)
-    return typed(rows, declared)
+    """The window of a database table, read by ``slices`` tasks that each fetch their own range.
+
+    The ranges are equally long, or with ``equal_depth`` hold equally many rows: the source is asked first where they begin.
+    """
+    if equal_depth:
+        lows = spark.read.jdbc(url, f"({depth_query(table, time, window, slices)}) cuts", properties=properties)
+        predicates = depth_slices(window, time, [row["low"] for row in lows.collect()])  # one row a slice
+    else:
+        predicates = window_slices(window, time, slices)
+    return typed(spark.read.jdbc(url, table, predicates=predicates, properties=properties), declared)

@@ -6,8 +6,8 @@ watermark is kept; the file sink records what it committed, so a restart after
 a failure neither loses nor repeats rows.
 
 A feed is a table of its own: readers of a streamed folder see the files in the
-sink's record only, and would not see what a batch load adds beside them. The
-daily load takes ``landed`` rows as its source.
+sink's record only, and would not see what a batch load adds beside them. Increments
+are cut from ``landed`` rows; ``facts`` carries streams on into the facts.
 """
 
 from __future__ import annotations

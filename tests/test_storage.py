@@ -3,7 +3,9 @@
 import csv
 import io
 import random
+from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 import shop
 from pyspark.sql import functions as F
@@ -101,6 +103,21 @@ def test_other_columns_in_a_file_with_line_breaks_raise(spark, tmp_path):
         raw.csv(spark, str(tmp_path / "x.csv"), s.TRANSLATION, line_breaks=True).collect()
 
 
+def test_slices_of_equal_depth():
+    """The query's SQL runs in DuckDB here; a third of all rows are bought at one instant, most others on one day."""
+    rng, duck = random.Random(4), duckdb.connect()
+    start = datetime(2020, 1, 1)
+    times = [start + timedelta(hours=12)] * 300 + [start + timedelta(days=9, seconds=rng.randrange(80_000)) for _ in range(500)]
+    times += [start + timedelta(seconds=rng.randrange(31 * 86_400)) for _ in range(100)] + [start - timedelta(days=1), start + timedelta(days=40)]
+    duck.execute("create table sales (bought timestamp)")
+    duck.executemany("insert into sales values (?)", [[t] for t in times])
+    lows = [low for _, low in duck.execute(raw.depth_query("sales", "bought", JANUARY, 9)).fetchall()]
+    counts = [duck.execute(f"select count(*) from sales where {p}").fetchone()[0] for p in raw.depth_slices(JANUARY, "bought", lows)]
+    assert sum(counts) == 900 and len(counts) > 5
+    assert max(counts) <= 400 and sorted(counts)[-2] <= 101
+    assert [duck.execute(f"select count(*) from sales where {p}").fetchone()[0] for p in raw.depth_slices(JANUARY, "bought", [])] == [900]
+
+
 def test_database_rows_get_the_declared_types(monkeypatch, spark):
     """The reader alone: no database here."""
     given = spark.sql("select 'o' as order_id, 2L as payment_sequential, 'x' as payment_type, '3' as payment_installments, 1.5D as payment_value")
