@@ -49,10 +49,8 @@ def order_totals() -> dict[str, Column]:
     }
 
 
-def _order_lines(
-    orders: DataFrame, items: DataFrame, window: LoadWindow | None, totals: dict[str, Column] | None
-) -> DataFrame:
-    kept = _bought(orders.where(c.valid_status()), window).select(
+def _sound_orders(orders: DataFrame, window: LoadWindow | None) -> DataFrame:
+    return _bought(orders.where(c.valid_status()), window).select(
         "order_id",
         "customer_id",
         "order_status",
@@ -65,6 +63,12 @@ def _order_lines(
         c.days_between("order_delivered_carrier_date", "order_delivered_customer_date").alias("deliver_duration"),
         c.days_between(PURCHASE, "order_delivered_customer_date").alias("total_duration"),
     )
+
+
+def _order_lines(
+    orders: DataFrame, items: DataFrame, window: LoadWindow | None, totals: dict[str, Column] | None
+) -> DataFrame:
+    kept = _sound_orders(orders, window)
     lines = valid_items(items).select(
         "order_id",
         "order_item_id",
@@ -88,6 +92,16 @@ def order_lines(orders: DataFrame, items: DataFrame, window: LoadWindow) -> Data
     return _order_lines(orders, items, window, None)
 
 
+def order_sums(orders: DataFrame, items: DataFrame, window: LoadWindow) -> DataFrame:
+    """The fulfilled orders, one row each, with what their valid items come to.
+
+    For summaries that need no single item. Items are added up before they move and meet the orders one to one.
+    """
+    amount = c.cents(F.col("price") + F.col("freight_value"))
+    sums = valid_items(items).groupBy("order_id").agg(F.sum(amount).alias("sum_cents"), F.count(F.lit(1)).alias("items"))
+    return _sound_orders(orders, window).join(sums, "order_id")
+
+
 def latest(fact: DataFrame) -> DataFrame:
     """Of every order the rows of its newest ``dt``, where later loads brought later states of it."""
     loaded = fact.withColumn("loaded_on", F.to_date("dt"))

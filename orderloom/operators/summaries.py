@@ -32,11 +32,20 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
+def _amount(rows: DataFrame) -> Column:
+    """Cents of item rows, or of ``facts.order_sums``, which are orders already."""
+    return F.sum("sum_cents") if "sum_cents" in rows.columns else F.sum(c.cents("total_amount"))
+
+
+def _items(rows: DataFrame) -> Column:
+    return F.sum("items") if "items" in rows.columns else _count()
+
+
 def order_level(rows: DataFrame, *keys: str) -> DataFrame:
     """One row per order within ``keys``: amount, items, durations, lateness."""
     return rows.groupBy(*keys, "order_id").agg(
-        F.sum(c.cents("total_amount")).alias("sum_cents"),
-        _count().alias("items"),
+        _amount(rows).alias("sum_cents"),
+        _items(rows).alias("items"),
         F.max("deliver_duration").alias("deliver_duration"),
         F.max("total_duration").alias("total_duration"),
         F.max(c.is_overtime()).alias("is_overtime"),
@@ -193,12 +202,13 @@ def _with_order_lines(per_order: DataFrame, fact: DataFrame, select: Select, gra
     Joining item rows would repeat every row once per item. The repeats are a
     factor per order, so they are multiplied in rather than produced.
     """
-    fact = select.by_time(fact, PURCHASE).select("order_id")
+    fact = select.by_time(fact, PURCHASE)
+    fact = fact.select("order_id", *[name for name in ("items",) if name in fact.columns])
     if select.dt:
         # One day against all history: drop the other orders where they are
         # read, before their ids are shuffled.
         fact = fact.join(per_order.select("order_id"), "order_id", "left_semi")
-    lines = fact.groupBy("order_id").agg(_count().alias("weight"))
+    lines = fact.groupBy("order_id").agg(_items(fact).alias("weight"))
     if grain_safe:
         return per_order.join(lines.select("order_id"), "order_id", "left_semi")
     return per_order.join(lines, "order_id")

@@ -53,6 +53,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.order_lines(raw(spark, sf_dir, "orders"), raw(spark, sf_dir, "items"), FULL)
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.order_sums(raw(spark, sf_dir, "orders"), raw(spark, sf_dir, "items"), FULL)
+
+
 def _payments(spark: SparkSession, sf_dir: str, window: LoadWindow = FULL) -> DataFrame:
     return facts.payment(raw(spark, sf_dir, "payments"), raw(spark, sf_dir, "orders"), window)
 
@@ -183,19 +187,19 @@ def fact_order_latest(spark, sf_dir):
 
 @query
 def sum_order_by_date(spark, sf_dir):
-    return summaries.order_by_date(_lines(spark, sf_dir), ALL)
+    return summaries.order_by_date(_orders(spark, sf_dir), ALL)
 
 
 @query
 def sum_order_by_date_daily(spark, sf_dir):
-    fact = _lines(spark, sf_dir).withColumn("dt", F.col("date_id"))
+    fact = _orders(spark, sf_dir).withColumn("dt", F.col("date_id"))
     return summaries.order_by_date(fact, Select.partition(DAY))
 
 
 @query
 def sum_order_by_date_daily_with_history(spark, sf_dir):
     """One day, with customers known from all of history."""
-    fact = _lines(spark, sf_dir).withColumn("dt", F.col("date_id"))
+    fact = _orders(spark, sf_dir).withColumn("dt", F.col("date_id"))
     return summaries.order_by_date(fact, Select.partition(DAY), summaries.first_purchases(fact))
 
 
@@ -216,7 +220,7 @@ def sum_order_by_category_daily_with_history(spark, sf_dir):
 @query
 def sum_order_by_date_by_person(spark, sf_dir):
     people = dims.customer(raw(spark, sf_dir, "customers"))
-    return summaries.order_by_date(_lines(spark, sf_dir), ALL, people=people)
+    return summaries.order_by_date(_orders(spark, sf_dir), ALL, people=people)
 
 
 @query
@@ -231,28 +235,28 @@ def sum_order_by_category_as_written(spark, sf_dir):
 
 @query
 def sum_payment_by_date(spark, sf_dir):
-    return summaries.payment_by_date(_payments(spark, sf_dir), _lines(spark, sf_dir), ALL)
+    return summaries.payment_by_date(_payments(spark, sf_dir), _orders(spark, sf_dir), ALL)
 
 
 @query
 def sum_payment_by_date_as_written(spark, sf_dir):
-    return summaries.payment_by_date(_payments(spark, sf_dir), _lines(spark, sf_dir), ALL, grain_safe=False)
+    return summaries.payment_by_date(_payments(spark, sf_dir), _orders(spark, sf_dir), ALL, grain_safe=False)
 
 
 @query
 def sum_review_by_date(spark, sf_dir):
-    return summaries.review_by_date(_reviews(spark, sf_dir), _lines(spark, sf_dir), ALL)
+    return summaries.review_by_date(_reviews(spark, sf_dir), _orders(spark, sf_dir), ALL)
 
 
 @query
 def sum_review_by_date_as_written(spark, sf_dir):
-    return summaries.review_by_date(_reviews(spark, sf_dir), _lines(spark, sf_dir), ALL, grain_safe=False)
+    return summaries.review_by_date(_reviews(spark, sf_dir), _orders(spark, sf_dir), ALL, grain_safe=False)
 
 
 @query
 def sum_order_by_customer_region(spark, sf_dir):
     customers = dims.customer(raw(spark, sf_dir, "customers"))
-    return summaries.order_by_customer_region(_lines(spark, sf_dir), customers, ALL)
+    return summaries.order_by_customer_region(_orders(spark, sf_dir), customers, ALL)
 
 
 @query
@@ -267,13 +271,13 @@ def sum_order_status_by_date(spark, sf_dir):
 
 
 def _board(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
+    orders = _orders(spark, sf_dir)
     return boards.daily(
         dims.date(raw(spark, sf_dir, "orders")),
-        summaries.order_by_date(lines, ALL),
+        summaries.order_by_date(orders, ALL),
         summaries.order_status_by_date(raw(spark, sf_dir, "orders"), ALL),
-        summaries.payment_by_date(_payments(spark, sf_dir), lines, ALL),
-        summaries.review_by_date(_reviews(spark, sf_dir), lines, ALL),
+        summaries.payment_by_date(_payments(spark, sf_dir), orders, ALL),
+        summaries.review_by_date(_reviews(spark, sf_dir), orders, ALL),
     )
 
 
