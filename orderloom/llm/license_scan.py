@@ -1,7 +1,8 @@
 """Licence texts found by the Dice coefficient of word bigrams, anywhere in a text.
 
 Words are runs of letters, digits and underscores in lower case, so case, marks
-and layout do not count. A text is read as one row of words, and every window of
+and layout do not count. A text is one value in a task, where its words are held at
+once, so it should stay below some hundred MB. A text is read as one row of words, and every window of
 it, inside a line, a paragraph or across them, is held against every template.
 A window of a distinct bigrams can reach Dice t with a template of n only if a
 is between n t / (2 - t) and n (2 - t) / t and it shares n t / (2 - t) bigrams
@@ -15,6 +16,12 @@ and lies further above t (the shared bigrams, doubled, less t (a + n)); within a
 licence, only to one of no lower coefficient. Of equals the name first in order
 stays.
 
+A coefficient cannot tell "version 2" from "version 3", nor CC BY-NC from CC
+BY-NC-ND: they differ in a word. So versions and variants are templates under
+names of their own, and a match must state the numbers and variants of its
+template and no others, up to the word after it. The numbers are all those of a
+notice of at most ``SHORT`` words, in longer texts those after "version".
+
 Null and empty texts match nothing. Repeated rows get equal results. An empty
 table gives no rows. Other columns are not read.
 """
@@ -24,7 +31,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -184,14 +191,55 @@ PARAGRAPHS: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 
+# Versions of the Creative Commons licences and of the GNU licences, and identifiers a line may declare.
+CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+CC_VARIANTS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+GNU_VERSIONS = (("GPL", _GPL, ("1", "2", "3")), ("LGPL", "Library General Public License", ("2",)), ("LGPL", _LGPL, ("2.1", "3")), ("AGPL", _AGPL, ("1", "3")))
+DECLARED = ("0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "ISC", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense", "Zlib", "EPL-1.0", "EPL-2.0")
+DECLARATION = "SPDX-License-Identifier:"
+#: Words that tell a variant from its neighbours.
+VARIANTS = frozenset("nc nd sa noncommercial noderivatives noderivs sharealike lesser affero only later".split())
+SHORT = 14
+
+
+def _variants() -> tuple[tuple[str, str], ...]:
+    """Notices of every version and variant, lines that declare an identifier, and headings."""
+    out = []
+    for variant, name in CC_VARIANTS.items():
+        for version in CC_VERSIONS:
+            kind = "International" if version == "4.0" else "Unported" if version == "3.0" else ""
+            out.append((f"CC-{variant}-{version}", f"Licensed under CC {variant} {version}."))
+            out.append((f"CC-{variant}-{version}", f"This work is licensed under a Creative Commons {name} {version} {kind} License."))
+            out.append((f"CC-{variant}-{version}", f"{DECLARATION} CC-{variant}-{version}"))
+    for short, name, versions in GNU_VERSIONS:
+        for version in versions:
+            full = f"{short}-{version if '.' in version else version + '.0'}"
+            out.append((full, f"This work is licensed under the GNU {name}, version {version}."))
+            out.append((full, f"Licensed under {short}v{version}"))
+            out += [(full, f"{DECLARATION} {full}{end}") for end in ("", "-only", "-or-later")]
+            thing, mark = ("library", ";") if name in (_LGPL, "Library General Public License") and version != "3" else ("program", ":" if version == "3" else ";")
+            out += [(full, " ".join(_gnu(name, version, thing, mark)[:1]))]
+    out += [(name, f"{DECLARATION} {name}") for name in DECLARED]
+    out += [(name, f"Licensed under {name}") for name in DECLARED]
+    out += [("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("ISC", "ISC License"), ("Unlicense", "The Unlicense")]
+    return tuple(out)
+
+
 def known() -> tuple[tuple[str, str], ...]:
-    """All templates: the short ones, each paragraph by itself, and all paragraphs of an entry as one.
+    """All templates: the short ones, each paragraph by itself, all paragraphs of an entry as one, and the variants.
 
     A paragraph that several licences share is named by all of them, the last
     first, so that among equals each of them alone comes before it.
     """
     owners: dict[str, set[str]] = {}
-    for name, texts in [*((n, (t,)) for n, t in TEMPLATES), *PARAGRAPHS]:
+    for name, texts in [*((n, (t,)) for n, t in (*TEMPLATES, *_variants())), *PARAGRAPHS]:
         for text in {*texts, " ".join(texts)}:
             owners.setdefault(" ".join(normalised(text)), set()).add(name)
     return tuple((" OR ".join(sorted(names, reverse=True)), text) for text, names in owners.items())
@@ -208,6 +256,12 @@ def normalised(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
+def telling(words: list[str], short: bool) -> set[str]:
+    """The words that tell a version or a variant."""
+    numbered = (w for before, w in zip(["", *words], words) if w.isdigit() and (short or before in ("version", "v")))
+    return {*numbered, *(w for w in words if w in VARIANTS)}
+
+
 @dataclass(frozen=True)
 class Match:
     license: str
@@ -224,8 +278,12 @@ class Templates:
 
     def __init__(self, named: tuple[tuple[str, str], ...], least: float):
         self.least = least
-        found = [(len(b), name, b) for name, text in named if (b := bigrams(normalised(text)))]
-        self.found = sorted(found, key=lambda x: x[:2])
+        found = [(len(b), name, b, normalised(text)) for name, text in named if (b := bigrams(normalised(text)))]
+        found.sort(key=lambda x: x[:2])
+        self.found = [x[:3] for x in found]
+        self.short = [len(x[3]) <= SHORT for x in found]
+        self.telling = [telling(x[3], len(x[3]) <= SHORT) for x in found]
+        self.declared = [x[3][3:] if x[3][:3] == normalised(DECLARATION) else [] for x in found]
         self.sizes = [n for n, _, _ in self.found]
         self.slack = 1e-9
         self.fewest = self.sizes[0] * least / (2 - least) - self.slack if self.sizes else float("inf")
@@ -236,18 +294,6 @@ class Templates:
         self.number[[self.words[v] * (len(self.words) + 1) + self.words[w] for v, w in every]] = np.arange(1, len(every) + 1)
         self.member = np.array([[False] * len(self.found), *([pair in b for _, _, b in self.found] for pair in every)], bool).reshape(-1, len(self.found))
 
-    def best(self, words: list[str]) -> tuple[str, float] | None:
-        """The closest template of all the words."""
-        if len(words) - 1 < self.fewest:
-            return None
-        mine = bigrams(words)
-        ratio = self.least / (2 - self.least)
-        within = slice(bisect_left(self.sizes, len(mine) * ratio - self.slack), bisect_right(self.sizes, len(mine) / ratio + self.slack))
-        rated = [(-2 * len(mine & b) / (len(mine) + n), name) for n, name, b in self.found[within]]
-        dice, name = min(rated, default=(0.0, ""))
-        return (name, -dice) if -dice >= self.least else None
-
-
     def matches(self, words: list[str]) -> list[Match]:
         """In order of their first words."""
         if len(words) - 1 < self.fewest:
@@ -259,9 +305,20 @@ class Templates:
         if not len(may):
             return []
         row = Row(words)
-        found = [m for k in may.tolist() for m in self._windows(row, k, self.member[numbers, k])]
+        found = [m for k in may.tolist() for m in self._windows(row, k, self.member[numbers, k]) if self._tells(words, k, m)]
         return sorted(_standing(found), key=lambda m: (m.first, m.last, m.license))
 
+    def _tells(self, words: list[str], k: int, m: Match) -> bool:
+        """Whether a match states the version and variant of its template."""
+        window = words[m.first : m.last + 2]
+        mine, last = telling(window, self.short[k]), window[-1]
+        if not set(self.declared[k]) <= set(window):
+            return False
+        after = words[m.last + 2 : m.last + 3]
+        if after and (after[0] in VARIANTS or (after[0].isdigit() and not last.isdigit() and any(w.isdigit() for w in self.telling[k]))):
+            mine.add(after[0])
+        return mine == self.telling[k]
+
     def _windows(self, row: Row, k: int, inside: np.ndarray) -> Iterator[Match]:
         n, name, _ = self.found[k]
         need, most, at = int(self.need[k]), n * (2 - self.least) / self.least + self.slack, np.flatnonzero(inside)
