@@ -140,9 +140,12 @@ class Store:
 def scratch_store(spark: SparkSession) -> Store:
     """A new, empty store in the shared folder the cluster names, or in the warehouse where it names none.
 
-    It is removed when the process ends; results may read from it until then.
+    A warehouse on the driver's own disk serves a local session only. The store is removed when the process ends; results may read from it until then.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    named, shared = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir")
+    if not named and shared.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    shared = named or shared
     store = Store(spark, f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}")
     atexit.register(store.remove)
     return store

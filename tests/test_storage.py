@@ -250,6 +250,17 @@ def test_scratch_without_shared_folder_lies_in_the_warehouse():
     assert scratch_store(session).root.startswith("hdfs://warehouse/orderloom-")
 
 
+def test_scratch_on_the_drivers_disk_is_refused_on_a_cluster():
+    for master, refused in (("spark://cluster:7077", True), ("yarn", True), ("local[4]", False)):
+        session = _Session(master)
+        session.conf["spark.sql.warehouse.dir"] = "file:/home/me/spark-warehouse"
+        if refused:
+            with pytest.raises(ValueError, match="checkpoint.dir"):
+                scratch_store(session)
+        else:
+            assert scratch_store(session).root.startswith("file:/home/me")
+
+
 def test_scratch_can_be_removed(spark, tmp_path):
     store = Store(spark, str(tmp_path / "scratch"))
     store.append(s.ORDERS, shop.orders(spark, order("a")), "d")
