@@ -17,13 +17,17 @@ class Scratch:
     """A new folder for tables that cut lineage; every executor sees it.
 
     It lies in the folder named by ``spark.checkpoint.dir``, or in the warehouse
-    where that is unset. A result may still read from it, so it stays until the
-    process ends.
+    where that is unset; a warehouse on the driver's own disk serves a local
+    session only. A result may still read from it, so it stays until the process
+    ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        named, root = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir")
+        if not named and root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        root = named or root
         self.path = f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
         atexit.register(self._remove_at_exit)
 
