@@ -51,9 +51,9 @@ def keys(text: str | None, least: int) -> set[bytes]:
     return {k.encode().lower() for k in stripped if len(k) >= least}
 
 
-def digest(key: bytes) -> tuple[int, int]:
-    """The first 16 bytes of the SHA-256, as the hash that deals the line and the rest."""
-    return struct.unpack_from("<qq", hashlib.sha256(key).digest())
+def digest(key: bytes) -> bytes:
+    """The first 16 bytes of the SHA-256: the hash that deals the line, and the rest."""
+    return hashlib.sha256(key).digest()[:16]
 
 
 def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -95,10 +95,10 @@ class Bloom:
 def _lines(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), 16 << 20):
-                found = [[digest(k) for k in keys(text, least)] for text in batch.column(1).slice(a, b - a).to_pylist()]
-                row = np.repeat(np.arange(a, b), [len(x) for x in found])
-                both = np.array([d for x in found for d in x], np.int64).reshape(-1, 2)
+            for a, b in slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), 4 << 20):
+                found = [b"".join(map(digest, keys(text, least))) for text in batch.column(1).slice(a, b - a).to_pylist()]
+                row = np.repeat(np.arange(a, b), [len(x) // 16 for x in found])
+                both = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["id", "hash", "rest"])
 
     return run
@@ -150,7 +150,7 @@ def _rewrite(text_at: int, drop_at: int, least: int, counts: tuple[str, str]):
         lines = (text or "").split("\n")
         if not drop:
             return text or "", len(lines), 0
-        gone = {(d["hash"], d["rest"]) for d in drop}
+        gone = {struct.pack("<qq", d["hash"], d["rest"]) for d in drop}
 
         def stays(line: str) -> bool:
             key = line.strip(SPACE)
