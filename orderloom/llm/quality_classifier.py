@@ -26,8 +26,6 @@ from operator import and_, eq
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +146,10 @@ def _logit(share: float) -> float:
 
 def fit(labelled: DataFrame, trees: int = 24, depth: int = 3, lasso: float = 0.0005, seed: int = 11) -> RuleEnsemble:
     """From rows with the column of statistics and ``label`` (0.0 or 1.0)."""
+    # Here, as the workers that compute statistics load this module too and have no use for 40 MB of it each.
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
     n, ones = labelled.agg(F.count("*"), F.sum("label")).first()
     if not n or ones in (0.0, float(n)):
         return RuleEnsemble(_logit((float(ones or 0) + 1) / (n + 2)))
