@@ -32,9 +32,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for every match of a document, or one without licence where nothing matches."""
+    """Of each document the closest licence (null: none), its Dice coefficient, how many places match one, and all of them."""
     rows = license_scan.scan(_table(spark, sf_dir, "documents"))
-    return rows.select(F.col("id").alias("doc_id"), F.explode_outer("matches").alias("m")).select("doc_id", "m.license", "m.dice", "m.first_line", "m.n_lines")
+    best = F.array_max(F.transform("matches", lambda m: m["dice"]))
+    names = F.transform(F.filter("matches", lambda m: m["dice"] == best), lambda m: m["license"])
+    return rows.select(F.col("id").alias("doc_id"), F.array_min(names).alias("license"), best.alias("dice"), F.size("matches").cast("long").alias("n_matches"), "matches")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 COLUMNS = {
     "op1_": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
-    "op2_": [("doc_id", "bigint"), ("license", "string"), ("dice", "double"), ("n_matches", "bigint")],
+    "op2_": [("doc_id", "bigint"), ("license", "string"), ("dice", "double"), ("n_matches", "bigint"), ("matches", "array<struct<license:string,dice:double,first_line:bigint,n_lines:bigint>>")],
     "op3_": [("doc_id", "bigint"), ("start", "bigint"), ("length", "bigint"), ("ids_crc32", "bigint"), ("doc_tokens", "bigint"), ("sequence_id", "bigint"), ("offset", "bigint")],
     "op4_": [("doc_id", "bigint"), ("held_out", "boolean"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("train_tokens", "bigint"), ("base_score", "double"), ("score", "double")],
     "op5_": [("vec_id", "bigint"), ("n_links", "bigint"), ("component_id", "bigint"), ("kept", "boolean")],
@@ -29,6 +29,8 @@ COLUMNS = {
     "op8_": [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")],
     "op9_": [("doc_id", "bigint"), ("n_lines", "bigint"), ("n_dropped", "bigint"), ("kept_sha256", "string")],
     "op10_": [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")],
+    "op12_": [("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string")],
+    "op13_": [("doc_id", "bigint"), ("n_features", "bigint"), ("weight", "bigint"), ("score", "bigint"), ("rank", "bigint")],
 }
 
 
