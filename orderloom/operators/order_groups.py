@@ -32,3 +32,14 @@ def join_orders(rows: DataFrame, orders: DataFrame, totals: Mapping[str, Column]
     # A new expression: an order side that is already dealt by order_id would need no exchange, and without one nothing is split.
     keyed = orders.withColumn(_KEY, F.concat("order_id", F.lit(""))).drop("order_id")
     return rows.join(keyed, rows["order_id"] == F.col(_KEY)).drop(_KEY)
+
+
+def deal(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by ``keys`` over as many partitions as the session's shuffles start from.
+
+    Adaptive execution merges partitions up to a size on disk, and millions of short rows fit into that; it leaves
+    partitions dealt by number as they are, so what a task holds shrinks as the session's shuffles widen.
+    """
+    conf = rows.sparkSession.conf
+    width = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return rows.repartition(int(width), *keys)

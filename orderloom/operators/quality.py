@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
+from orderloom.operators.order_groups import deal
 from orderloom.schemas import RAW, Table
 
 
@@ -129,9 +130,14 @@ def reviews_report(reviews: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(rows: DataFrame, table: Table, table_name: str, *more: str) -> DataFrame:
-    """Key values that occur more than once, key columns joined by ``|``, NULL as ``\\N``; ``more``: key columns to keep."""
+    """Key values that occur more than once, key columns joined by ``|``, NULL as ``\\N``; ``more``: key columns to keep.
+
+    Keys are mostly distinct, so combining them in the tasks that read them would only hold them once more. They are
+    dealt as they come, and a task holds the keys of its share; a key that repeats is counted as it streams by.
+    """
     return (
-        rows.groupBy(*table.key)
+        deal(rows.select(*table.key), *table.key)
+        .groupBy(*table.key)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
         .select(

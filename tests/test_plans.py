@@ -8,7 +8,7 @@ import shop
 from shop import JANUARY, item, order
 
 from orderloom import schemas as s
-from orderloom.operators import facts, summaries
+from orderloom.operators import facts, quality, summaries
 from orderloom.params import Select
 from orderloom.sources.tables import Store
 
@@ -163,3 +163,13 @@ def test_history_is_narrowed_before_it_is_combined(spark, skewed_fact):
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     combined = next(n for n, line in enumerate(plan.splitlines()) if "min(cast(order_purchase_timestamp" in line and "first_day" in line)
     assert "Join LeftSemi" in "\n".join(plan.splitlines()[combined : combined + 3])
+
+
+def test_keys_are_counted_over_the_whole_width(spark):
+    """Merged by their size on disk, all of these keys would be one task's."""
+    rows = shop.items(spark, *[item(str(n), 1) for n in range(40)], item("7", 1), item(None, 1), item(None, 1), item("8", None))
+    frame = quality.duplicate_keys(rows, s.ITEMS, "items")
+    plan = final_plan(frame)
+    assert frame.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "AQEShuffleRead" not in plan and plan.count("Exchange") == 1
+    assert sorted((row["key_value"], row["n_rows"]) for row in frame.collect()) == [("7|1", 2), (r"\N|1", 2)]
