@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import columns as c
 from orderloom.operators.facts import PURCHASE
+from orderloom.operators.order_groups import deal
 from orderloom.params import Select
 from orderloom.schemas import (
     SUM_ORDER_BY_CATEGORY,
@@ -25,6 +26,7 @@ from orderloom.schemas import (
     SUM_STATUS_BY_DATE,
 )
 
+_TASK = "__task"
 _ADDED = ("items", "orders", "deliver_days", "delivered", "total_days", "completed", "late")
 
 
@@ -32,26 +34,38 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _amount(rows: DataFrame) -> Column:
-    """Cents of item rows, or of ``facts.order_sums``, which are orders already."""
-    return F.sum("sum_cents") if "sum_cents" in rows.columns else F.sum(c.cents("total_amount"))
-
-
 def _items(rows: DataFrame) -> Column:
     return F.sum("items") if "items" in rows.columns else _count()
 
 
-def order_level(rows: DataFrame, *keys: str) -> DataFrame:
-    """One row per order within ``keys``: amount, items, durations, lateness."""
-    return rows.groupBy(*keys, "order_id").agg(
-        _amount(rows).alias("sum_cents"),
-        _items(rows).alias("items"),
-        F.max("deliver_duration").alias("deliver_duration"),
-        F.max("total_duration").alias("total_duration"),
-        F.max(c.is_overtime()).alias("is_overtime"),
+def _order_values(rows: DataFrame) -> list[Column]:
+    """What orders combine of item rows, or of ``facts.order_sums``, which are orders already."""
+    return [
+        (F.col("sum_cents") if "sum_cents" in rows.columns else c.cents("total_amount")).alias("sum_cents"),
+        (F.col("items") if "items" in rows.columns else F.lit(1).cast("long")).alias("items"),
+        F.col("deliver_duration"),
+        F.col("total_duration"),
+        c.is_overtime().alias("is_overtime"),
         # A date, not the text of date_id: a text minimum would turn the hash aggregate into a sort.
-        F.min(F.to_date(PURCHASE)).alias("bought_on"),
-    )
+        F.to_date(PURCHASE).alias("bought_on"),
+    ]
+
+
+def order_level(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per order within ``keys``: amount, items, durations, lateness.
+
+    Item rows are dealt anew, so that the task that joined them need not hold their groups as well. They are
+    combined apart for every task they come from, which leaves few rows of a hot order for the task that ends it.
+    """
+    by = [*keys, "order_id"]
+    combined = [F.sum("sum_cents").alias("sum_cents"), F.sum("items").alias("items")]
+    combined += [F.max(name).alias(name) for name in ("deliver_duration", "total_duration", "is_overtime")]
+    combined.append(F.min("bought_on").alias("bought_on"))
+    values = rows.select(*by, *_order_values(rows))
+    if "items" not in rows.columns:
+        apart = deal(values.withColumn(_TASK, F.spark_partition_id()), *by, _TASK)
+        values = deal(apart.groupBy(*by, _TASK).agg(*combined).drop(_TASK), *by)
+    return values.groupBy(*by).agg(*combined)
 
 
 def by_person(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -173,3 +173,26 @@ def test_keys_are_counted_over_the_whole_width(spark):
     assert frame.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert "AQEShuffleRead" not in plan and plan.count("Exchange") == 1
     assert sorted((row["key_value"], row["n_rows"]) for row in frame.collect()) == [("7|1", 2), (r"\N|1", 2)]
+
+
+@pytest.mark.parametrize("query", ["category"])
+def test_the_task_that_joins_lines_holds_no_groups(spark, one_hot_order, query):
+    """The lines move on to be combined, first by the task they come from, then by order."""
+    lines = facts.order_lines(*one_hot_order, JANUARY)
+    build = {
+        "category": lambda: summaries.order_by_category(lines, spark.range(100).selectExpr("concat('p', id) as product_id", "concat('k', id % 2) as product_category_en"), ALL),
+    }[query]
+    with settings(spark, **EAGER_SPLIT):
+        frame = build()
+        plan = final_plan(frame).splitlines()
+        dealt = [n for n, line in enumerate(plan) if "REPARTITION_BY_NUM" in line]
+        joined = min(n for n, line in enumerate(plan) if "SortMergeJoin" in line)
+        assert len(dealt) == 2 and dealt[1] < joined
+        assert not any("Aggregate" in line for line in plan[dealt[1] + 1 : joined])
+        assert any("Aggregate" in line for line in plan[dealt[0] + 1 : dealt[1]])
+        rows = [row.asDict() for row in frame.collect()]
+    # The hot order counts once in each group that has items of it.
+    held = spark.range(90000).selectExpr("case when id % 3 = 0 then 'hot' else concat('o', 1 + id % 2999) end as o", "id % 2 as g")
+    prefix = "cate" if "cate_gmv" in rows[0] else "region"
+    assert sorted(row[f"{prefix}_order_count"] for row in rows) == sorted(row["count"] for row in held.distinct().groupBy("g").count().collect())
+    assert sum(row[f"{prefix}_gmv"] for row in rows) == 90000
