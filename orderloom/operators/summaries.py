@@ -2,9 +2,9 @@
 
 Facts hold item rows, so nothing joins them for existence and no order-level
 value is averaged over items. Rows are first combined to order grain, then to
-the grain of the summary; every step is a grouped aggregate that combines
-before it shuffles, so a hot order, customer, product or day is one small row
-per task by the time it moves.
+the grain of the summary. Item rows move once as they are; every later step
+combines before it shuffles, so a hot order, customer, product or day is one
+small row per task by the time it meets the rest of its group.
 """
 
 from __future__ import annotations

@@ -175,14 +175,16 @@ def test_keys_are_counted_over_the_whole_width(spark):
     assert sorted((row["key_value"], row["n_rows"]) for row in frame.collect()) == [("7|1", 2), (r"\N|1", 2)]
 
 
-@pytest.mark.parametrize("query", ["category", "category_as_written"])
+@pytest.mark.parametrize("query", ["category", "category_as_written", "seller_region"])
 def test_the_task_that_joins_lines_holds_no_groups(spark, one_hot_order, query):
     """The lines move on to be combined, first by the task they come from, then by order."""
     lines = facts.order_lines(*one_hot_order, JANUARY)
     products = spark.range(100).selectExpr("concat('p', id) as product_id", "case when id % 2 = 0 then 'k' end as product_category_en")
+    sellers = spark.range(10).selectExpr("concat('s', id) as seller_id", "concat('t', id % 2) as seller_state", "'c' as seller_city")
     build = {
         "category": lambda: summaries.order_by_category(lines, products, ALL),
         "category_as_written": lambda: summaries.order_by_category(lines, products, ALL, grain_safe=False),
+        "seller_region": lambda: summaries.order_by_seller_region(lines, sellers, ALL),
     }[query]
     with settings(spark, **EAGER_SPLIT):
         frame = build()
