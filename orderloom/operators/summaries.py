@@ -68,6 +68,15 @@ def order_level(rows: DataFrame, *keys: str) -> DataFrame:
     return values.groupBy(*by).agg(*combined)
 
 
+def _merged(dimension: DataFrame) -> DataFrame:
+    """A dimension of the lines, joined by shuffle whatever its files weigh.
+
+    Spark weighs it by its packed files. Broadcast, a few MB of them are unpacked into every task that joins lines,
+    and grow there with the dimension.
+    """
+    return dimension.hint("merge")
+
+
 def by_person(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Count people: the customer id of each order becomes the id of the person behind it.
 
@@ -162,7 +171,7 @@ def order_by_category(
 ) -> DataFrame:
     """``grain_safe=False`` leaves durations and lateness of the unnamed category empty."""
     names = products.select("product_id", F.col("product_category_en").alias("cate_name"))
-    rows = select(fact, PURCHASE).join(names, "product_id")
+    rows = select(fact, PURCHASE).join(_merged(names), "product_id")
     metrics = _order_metrics(customer_level(rows, "cate_name", first_purchase=first_purchase), ["cate_name"], "cate_", "cate")
     if not grain_safe:
         for name in ("cate_avg_deliver_duration", "cate_avg_total_duration", "cate_overtime_rate"):
@@ -186,7 +195,7 @@ def order_by_seller_region(
 ) -> DataFrame:
     """Items of unknown sellers count in the region without a name."""
     keys = ["seller_state", "seller_city"]
-    rows = select(fact, PURCHASE).join(sellers.select("seller_id", *keys), "seller_id", "left")
+    rows = select(fact, PURCHASE).join(_merged(sellers.select("seller_id", *keys)), "seller_id", "left")
     return SUM_ORDER_BY_SELLER_REGION.conform(_order_metrics(customer_level(rows, *keys, first_purchase=first_purchase), keys, "region_", "region"))
 
 

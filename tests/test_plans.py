@@ -200,3 +200,23 @@ def test_the_task_that_joins_lines_holds_no_groups(spark, one_hot_order, query):
     prefix = "cate" if "cate_gmv" in rows[0] else "region"
     assert sorted(row[f"{prefix}_order_count"] for row in rows) == sorted(row["count"] for row in held.distinct().groupBy("g").count().collect())
     assert sum(row[f"{prefix}_gmv"] for row in rows) == 90000
+
+
+@pytest.mark.parametrize("query", ["category", "category_as_written", "seller_region"])
+def test_no_task_that_joins_lines_holds_their_dimension(spark, one_hot_order, query):
+    """However small its files: Spark's size check would broadcast this one."""
+    lines = facts.order_lines(*one_hot_order, JANUARY)
+    products = spark.range(100).selectExpr("concat('p', id) as product_id", "case when id % 2 = 0 then 'k' end as product_category_en")
+    sellers = spark.range(10).selectExpr("concat('s', id) as seller_id", "concat('t', id % 2) as seller_state", "'c' as seller_city")
+    build, key = {
+        "category": (lambda: summaries.order_by_category(lines, products, ALL), "product_id"),
+        "category_as_written": (lambda: summaries.order_by_category(lines, products, ALL, grain_safe=False), "product_id"),
+        "seller_region": (lambda: summaries.order_by_seller_region(lines, sellers, ALL), "seller_id"),
+    }[query]
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "10485760"}):
+        frame = build()
+        joins = [line for line in final_plan(frame).splitlines() if re.search(rf"Join(\(.*\))? \[{key}#", line)]
+        assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+        rows = [row.asDict() for row in frame.collect()]
+    prefix = "cate" if "cate_gmv" in rows[0] else "region"
+    assert sum(row[f"{prefix}_gmv"] for row in rows) == 90000
